@@ -69,63 +69,86 @@ def located(text: Column, hits: Column, pattern: str) -> Column:
     return F.when(F.size(hits) > 0, found).otherwise(none)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed, and stands in the plan, once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def upper_tail(z: Column) -> Column:
     """P(normal > z)."""
-    x = F.abs(z) / F.sqrt(F.lit(2.0))
-    t = F.lit(1.0) / (F.lit(1.0) + x / 2)
-    poly = reduce(lambda acc, c: acc * t + F.lit(c), reversed(ERFC[:-1]), F.lit(ERFC[-1]))
-    half = t * F.exp(-x * x + poly) / 2
-    return F.when(z >= 0, half).otherwise(F.lit(1.0) - half)
 
+    def half(v: Column, t: Column) -> Column:
+        poly = reduce(lambda acc, c: acc * t + F.lit(c), reversed(ERFC[:-1]), F.lit(ERFC[-1]))
+        tail = t * F.exp(-v * v / 2 + poly) / 2
+        return let(tail, lambda x: F.when(v >= 0, x).otherwise(F.lit(1.0) - x))
 
-def let(value: Column, body) -> Column:
-    """``body`` of ``value``, which is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return let(z, lambda v: let(F.lit(1.0) / (F.lit(1.0) + F.abs(v) / F.lit(8**0.5)), lambda t: half(v, t)))
+
+
+def log_tail(z: Column, sides: int) -> Column:
+    return F.log(F.greatest(upper_tail(z) * sides, F.lit(1e-300)))
+
+
+def uniformity(places: Column, k: Column, cells: Column, n: Column) -> Column:
+    """z of chi-squared over equal cells: the cube root of chi-squared over its degrees of freedom is nearly normal (Wilson and Hilferty)."""
+    counts = F.transform(F.sequence(F.lit(0), cells - 1), lambda c: F.size(F.filter(places, lambda v: F.floor(v * cells / k) == c)).cast("double"))
+    chi = F.aggregate(counts, F.lit(0.0), lambda acc, o: acc + o * o) * cells / n - n
+    df = cells - F.lit(1.0)
+    part = F.lit(2.0) / (F.lit(9.0) * df)
+    return (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1.0 / 3)) - (F.lit(1.0) - part)) / F.sqrt(part)
+
+
+def runs(places: Column, k: Column, n: Column) -> Column:
+    """abs(z) of the number of runs above and below the alphabet's middle."""
+    turns = F.size(F.filter(F.arrays_zip(F.slice(places, 1, F.size(places) - 1).alias("a"), F.slice(places, 2, F.size(places) - 1).alias("b")), lambda s: (s["a"] * 2 >= k) != (s["b"] * 2 >= k)))
+    high = F.size(F.filter(places, lambda v: v * 2 >= k)).cast("double")
+
+    def score(usual: Column) -> Column:
+        return let((usual - 1) * (usual - 2) / (n - 1), lambda spread: F.when(spread > 0, F.abs(turns + F.lit(1.0) - usual) / F.sqrt(spread)).otherwise(F.lit(40.0)))
+
+    return let(high, lambda h: let(F.lit(2.0) * h * (n - h) / n + 1, score))
+
+
+def serial(places: Column, n: Column) -> Column:
+    """abs(z) of the lag-1 serial correlation."""
+    start = F.struct(F.lit(0.0).alias("whole"), F.lit(0.0).alias("lagged"), F.lit(0.0).alias("last"))
+
+    def around(mean: Column) -> Column:
+        def step(acc: Column, v: Column) -> Column:
+            return let(v - mean, lambda d: F.struct((acc["whole"] + d * d).alias("whole"), (acc["lagged"] + acc["last"] * d).alias("lagged"), d.alias("last")))
 
+        return let(F.aggregate(places, start, step), lambda s: F.when(s["whole"] > 0, F.abs(s["lagged"] / s["whole"] + F.lit(1.0) / n) * F.sqrt(n)).otherwise(F.lit(40.0)))
 
-def joint_p(places: Column, k: int, cells: int) -> Column:
+    return let(F.aggregate(places, F.lit(0.0), lambda acc, v: acc + v) / n, around)
+
+
+def joint_p(places: Column, k: Column, cells: Column) -> Column:
     """Fisher's joint p-value of the three tests on ``places``, the symbols' numbers from 0 to k - 1."""
     n = F.size(places).cast("double")
-    df = float(cells - 1)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), lambda c: F.size(F.filter(places, lambda v: F.floor(v * F.lit(cells) / F.lit(k)) == c)).cast("double"))
-    chi = F.aggregate(counts, F.lit(0.0), lambda acc, o: acc + o * o) * F.lit(float(cells)) / n - n
-    # Wilson and Hilferty: the cube root of chi-squared over its degrees of freedom is nearly normal.
-    chi_z = (F.pow(F.greatest(chi, F.lit(0.0)) / F.lit(df), F.lit(1.0 / 3)) - F.lit(1 - 2 / (9 * df))) / F.lit((2 / (9 * df)) ** 0.5)
-    high = F.size(F.filter(places, lambda v: v * 2 >= k)).cast("double")
-    low = n - high
-    steps = F.zip_with(F.slice(places, 1, F.size(places) - 1), F.slice(places, 2, F.size(places) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    runs = F.lit(1.0) + F.size(F.filter(steps, lambda s: (s["a"] * 2 >= k) != (s["b"] * 2 >= k)))
-    usual = F.lit(2.0) * high * low / n + 1
-    spread = (usual - 1) * (usual - 2) / (n - 1)
-    runs_z = F.when(spread > 0, F.abs(runs - usual) / F.sqrt(spread)).otherwise(F.lit(40.0))
-    mean = F.aggregate(places, F.lit(0.0), lambda acc, v: acc + v) / n
-    whole = F.aggregate(places, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
-    lagged = F.aggregate(steps, F.lit(0.0), lambda acc, s: acc + (s["a"] - mean) * (s["b"] - mean))
-    serial_z = F.when(whole > 0, F.abs(lagged / whole + F.lit(1.0) / n) * F.sqrt(n)).otherwise(F.lit(40.0))
-    least = F.lit(1e-300)
-    logs = F.log(F.greatest(upper_tail(chi_z), least)) + F.log(F.greatest(upper_tail(runs_z) * 2, least)) + F.log(F.greatest(upper_tail(serial_z) * 2, least))
+    logs = let(n, lambda m: log_tail(uniformity(places, k, cells, m), 1) + log_tail(runs(places, k, m), 2) + log_tail(serial(places, m), 2))
     return let(-logs, lambda h: F.exp(-h) * (F.lit(1.0) + h + h * h / 2))
 
 
-def tested_as(k: int, cells: int):
-    return lambda places: joint_p(places, k, cells)
+def randomness(hit: Column) -> Column:
+    """The joint p-value of a candidate under the narrowest encoding that holds it; 0 for base64 without a digit or one of the cases, as words and paths are."""
 
+    def chosen(of) -> Column:
+        out = None
+        for name, (_, _, shape) in ENCODINGS.items():
+            out = F.when(hit.rlike(shape), of(name)) if out is None else out.when(hit.rlike(shape), of(name)) if name != "base64" else out.otherwise(of(name))
+        return out
 
-def numbered(hit: Column, letters: str) -> Column:
-    return F.transform(F.filter(F.split(hit, ""), lambda c: c != ""), lambda c: F.instr(F.lit(letters), c) - 1)
+    def read(name: str) -> Column:
+        alphabet, cells, _ = ENCODINGS[name]
+        source = F.lower(hit) if name == "hex" else F.translate(hit, "-_", "+/") if name == "base64" else hit
+        return F.struct(source.alias("source"), F.lit(alphabet).alias("alphabet"), F.lit(len(alphabet)).alias("k"), F.lit(cells).alias("cells"))
 
+    def tested(e: Column) -> Column:
+        places = F.transform(F.filter(F.split(e["source"], ""), lambda c: c != ""), lambda c: F.instr(e["alphabet"], c) - 1)
+        word = (e["k"] == 64) & ~(hit.rlike("[0-9]") & hit.rlike("[A-Z]") & hit.rlike("[a-z]"))
+        return F.when(word, F.lit(0.0)).otherwise(let(places, lambda v: joint_p(v, e["k"], e["cells"])))
 
-def randomness(hit: Column) -> Column:
-    """The joint p-value of a candidate under the narrowest encoding that holds it; 0 for one kind of letters only in base64."""
-    plain = F.translate(hit, "-_", "+/")
-    out = None
-    for name, (alphabet, cells, shape) in ENCODINGS.items():
-        source = F.lower(hit) if name == "hex" else plain if name == "base64" else hit
-        p = let(numbered(source, alphabet), tested_as(len(alphabet), cells))
-        if name == "base64":  # words and paths lack a digit or one of the cases
-            p = F.when(hit.rlike("[0-9]") & hit.rlike("[A-Z]") & hit.rlike("[a-z]"), p).otherwise(F.lit(0.0))
-        out = F.when(hit.rlike(shape), p) if out is None else out.when(hit.rlike(shape), p)
-    return out
+    return let(chosen(read), tested)
 
 
 def scan(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -138,9 +161,9 @@ def scan(docs: DataFrame, keep: list[str]) -> DataFrame:
     assign = F.filter(located(F.col("_text"), F.col("_assign"), ASSIGN), lambda x: F.length(F.regexp_extract(x["hit"], ASSIGN, 2)) >= LEAST_VALUE)
     base = F.array_sort(F.concat(F.transform(assign, span("assign")), F.transform(located(F.col("_text"), F.col("_access"), ACCESS), span("access")), F.transform(located(F.col("_text"), F.col("_hex"), HEX), span("hex"))))
     found = found.withColumn("base", base)
-    apart = F.filter(located(F.col("_text"), F.col("_candidate"), CANDIDATE), lambda x: ~F.exists(F.col("base"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    tested = F.transform(apart, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), randomness(x["hit"]).alias("p")))
-    return found.select(*keep, "base", F.filter(tested, lambda x: x["p"] >= LEAST_P).alias("candidates"), F.transform(F.filter(tested, lambda x: x["p"] < LEAST_P), lambda x: weighted_bin(x)).alias("low"))
+    found = found.withColumn("apart", F.filter(located(F.col("_text"), F.col("_candidate"), CANDIDATE), lambda x: ~F.exists(F.col("base"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))))
+    found = found.withColumn("tested", F.transform("apart", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), randomness(x["hit"]).alias("p"))))
+    return found.select(*keep, "base", F.filter("tested", lambda x: x["p"] >= LEAST_P).alias("candidates"), F.transform(F.filter("tested", lambda x: x["p"] < LEAST_P), weighted_bin).alias("low"))
 
 
 def weighted_bin(x: Column) -> Column:
@@ -178,7 +201,10 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def masked(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
-    """``docs`` with every span of every text replaced by ``mask``; overlapping spans are replaced as one."""
+    """``docs`` with every span of every text replaced by ``mask``; overlapping spans are replaced as one.
+
+    A column n_chars is brought up to date where the text changes.
+    """
     columns = docs.columns
     found = find_secrets(docs, [f"`{c}`" for c in columns])
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -191,7 +217,11 @@ def masked(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
 
     text = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.greatest(F.length("text") - acc["at"], F.lit(0)))))
     fixed = F.when(F.size("spans") > 0, text).otherwise(F.col("text"))
-    return found.select(*[fixed.alias(c) if c == "text" else F.col(f"`{c}`") for c in columns])
+    found = found.withColumn("_masked", fixed)
+    changed = {"text": F.col("_masked")}
+    if "n_chars" in columns:
+        changed["n_chars"] = F.when(F.size("spans") > 0, F.length("_masked")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in columns])
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

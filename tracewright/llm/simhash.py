@@ -245,6 +245,89 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS) -
     return rows.join(named, F.col("fp") == F.col("named_fp")).select("doc_id", "fp", "component_id")
 
 
+#: MinHash bands of ``similar``, and hashes in each: of pairs that share 0.8 of their shingles, all but 2 in 10,000 meet in a band.
+BANDS, PER_BAND = 16, 4
+SIMILAR_WIDTH, SIMILARITY = 5, 0.8
+#: Fingerprints of texts that share 0.8 of their shingles differ in about 9 bits; beyond this many, texts are not compared.
+FAR = 26
+
+
+def sketches(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, digest of the text's words, fp and MinHash bands of every row."""
+    rng = np.random.default_rng(SEED)
+    factors = rng.integers(1, 1 << 63, BANDS * PER_BAND, dtype=np.uint64) | np.uint64(1)
+    block = 1 << 12
+
+    def one(text: bytes | None) -> tuple[bytes, int, np.ndarray]:
+        least, votes, n = np.full(BANDS * PER_BAND, ALL), np.zeros(64, dtype=np.int64), 0
+        digest = xxhash.xxh3_128()
+        for hashes in shingle_hashes(text, width):
+            digest.update(hashes.tobytes())
+            for s in range(0, len(hashes), block):
+                part = hashes[s : s + block]
+                np.minimum(least, ((part ^ (part >> np.uint64(29)))[:, None] * factors).min(axis=0), out=least)
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            votes += np.add.reduceat(bits, np.arange(0, len(bits), 255), axis=0, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+            n += len(hashes)
+        fp = int(np.packbits(votes * 2 > n, bitorder="little").view(np.int64)[0]) if n else 0
+        bands = [xxhash.xxh64_intdigest(b.tobytes(), seed=i) for i, b in enumerate(least.reshape(BANDS, PER_BAND))]
+        return digest.digest(), fp, np.array(bands, dtype=np.uint64).view(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [one(x) for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
+            columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate((pa.binary(), pa.int64(), pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "digest", "fp", "bands"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, digest binary, fp long, bands array<long>")
+
+
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(np.concatenate([*shingle_hashes(x, width), np.empty(0, np.uint64)])).view(np.int64) for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
+
+    return docs.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
+
+
+def similar(docs: DataFrame, width: int = SIMILAR_WIDTH, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id and component_id of every row: the smallest doc_id that links of ``similarity`` or more reach.
+
+    Texts of equal words are one. Different ones are compared if bit slices find their
+    fingerprints within ``RADIUS`` bits, or if they share a MinHash band with the list's first
+    text and their fingerprints are not ``FAR`` apart; what links them is the exact share of
+    common shingles. A list gives each member one pair, so the work grows with its length only.
+    """
+    rows = store(sketches(docs.filter("doc_id IS NOT NULL"), width), "similar-docs")
+    texts = store(rows.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "similar-texts")
+    listed = texts.select("id", "fp", F.explode("bands").alias("key"))
+    heads = listed.groupBy("key").agg(F.min(F.struct("id", "fp")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", F.col("head.id").alias("to"), F.col("head.fp").alias("to_fp"))
+    banded = listed.join(heads, "key").filter((F.col("id") != F.col("to")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("to_fp"))) <= FAR)).select("id", "to")
+    by_fp = texts.groupBy("fp").agg(F.min("id").alias("fp_id"))
+    same_fp = texts.join(by_fp, "fp").filter("id <> fp_id").select("id", F.col("fp_id").alias("to"))
+    close = links(by_fp.select("fp"), RADIUS)
+    close = close.join(by_fp.select(F.col("fp").alias("a"), F.col("fp_id").alias("id")), "a").join(by_fp.select(F.col("fp").alias("b"), F.col("fp_id").alias("to")), "b").select("id", "to")
+    pairs = banded.union(same_fp).union(close).select(F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).distinct()
+    pairs = store(pairs, "similar-pairs")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id").dropDuplicates(["id"])
+    sets = store(shingle_sets(whole, width), "similar-sets")
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    linked = both.select("a", "b", common.alias("n"), (F.size("x") + F.size("y")).alias("m")).filter(F.col("n") >= F.lit(similarity) * (F.col("m") - F.col("n"))).select("a", "b")
+    roots = components(store(linked, "similar-links"))
+    named = texts.join(roots, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("root", "id").alias("component_id"))
+    return rows.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, of each group of near-duplicates the one of the smallest doc_id; of rows of one id, one. Rows without an id stay."""
+    first = similar(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = docs.filter("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter("doc_id IS NULL"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -135,7 +135,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, shard_rows: int =
     least = Window.partitionBy("code").orderBy("vec_id")
     kept = codes.withColumn("nth", F.row_number().over(least)).filter(F.col("nth") <= k + 1)
     kept = kept.select("vec_id", "code", F.pmod(F.xxhash64("code"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    asked = asked.select("vec_id", "code", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("shard"), F.pmod(F.xxhash64("vec_id", "code"), F.lit(blocks)).cast("int").alias("block"))
+    asked = asked.select("vec_id", "code", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>")).alias("shard"), F.pmod(F.xxhash64("vec_id", "code"), F.lit(blocks)).cast("int").alias("block"))
     found = (
         kept.groupBy("shard", "block")
         .cogroup(asked.groupBy("shard", "block"))
