@@ -151,7 +151,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = """
 WITH codes AS (
-  SELECT DISTINCT vec_id, array_to_string(list_transform(embedding, x -> CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS code
+  SELECT DISTINCT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS code
   FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
 pairs AS (
   SELECT q.vec_id AS query_id, v.vec_id AS neighbor_id, hamming(q.code, v.code) AS distance
