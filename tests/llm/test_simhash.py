@@ -93,3 +93,43 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001), (5, 5)], "a long, b long")
     roots = {r["node"]: r["root"] for r in components(edges).collect()}
     assert roots == {**{i: 0 for i in range(1, 201)}, 1001: 1000}
+
+
+def similar_classes(texts, similarity=0.8):
+    sets = {}
+    for i, t in texts:
+        words = (t or "").encode().lower().split()
+        sets[i] = {b" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    group = {i: i for i in sets}
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                group[y] = x
+    return {i: root(i) for i in sets}
+
+
+@pytest.mark.parametrize("side", [3, 1024])
+def test_members_of_a_band_meet_each_other(spark, monkeypatch, side):
+    """Texts about a shared passage: a band's first text is often like none of the others, which may be like each other."""
+    monkeypatch.setattr(simhash, "SIDE", side)
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(120)]
+    texts = []
+    for family in range(12):
+        own = [f"f{family}w{i}" for i in range(60)]
+        for _ in range(4):
+            words = passage + own
+            words[rng.randrange(20, 160)] = f"x{rng.random()}"
+            texts.append((len(texts), " ".join(words)))
+    rng.shuffle(texts)
+    texts += [(100, None), (101, ""), (102, "one two"), (103, "one two"), (104, texts[0][1])]
+    got = {r[0]: r[1] for r in simhash.similar(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == similar_classes(texts)
+    assert len(set(got.values())) > 12

@@ -248,38 +248,46 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS) -
 #: MinHash bands of ``similar``, and hashes in each: of pairs that share 0.8 of their shingles, all but 2 in 10,000 meet in a band.
 BANDS, PER_BAND = 16, 4
 SIMILAR_WIDTH, SIMILARITY = 5, 0.8
-#: Fingerprints of texts that share 0.8 of their shingles differ in about 9 bits; beyond this many, texts are not compared.
-FAR = 26
+#: Members of a list that are compared with as many others at once, and shingles that they have together.
+SIDE, SHINGLES = 1024, 1 << 20
+
+
+def least_equal(similarity: float) -> int:
+    """MinHashes of a sketch that texts of ``similarity`` share, less 4.75 standard deviations: one pair in a million has fewer."""
+    n = BANDS * PER_BAND
+    return max(0, int(n * similarity - 4.75 * (n * similarity * (1 - similarity)) ** 0.5))
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, digest of the text's words, fp and MinHash bands of every row."""
+    """Of every row doc_id, digest of the words, fp, n (its different shingles), MinHash bands and a byte of each MinHash."""
     rng = np.random.default_rng(SEED)
     factors = rng.integers(1, 1 << 63, BANDS * PER_BAND, dtype=np.uint64) | np.uint64(1)
     block = 1 << 12
 
-    def one(text: bytes | None) -> tuple[bytes, int, np.ndarray]:
+    def one(text: bytes | None) -> tuple[bytes, int, int, np.ndarray, bytes]:
         least, votes, n = np.full(BANDS * PER_BAND, ALL), np.zeros(64, dtype=np.int64), 0
-        digest = xxhash.xxh3_128()
+        digest, different = xxhash.xxh3_128(), [np.empty(0, np.uint64)]
         for hashes in shingle_hashes(text, width):
             digest.update(hashes.tobytes())
-            for s in range(0, len(hashes), block):
-                part = hashes[s : s + block]
-                np.minimum(least, ((part ^ (part >> np.uint64(29)))[:, None] * factors).min(axis=0), out=least)
             bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             votes += np.add.reduceat(bits, np.arange(0, len(bits), 255), axis=0, dtype=np.uint8).sum(axis=0, dtype=np.int64)
             n += len(hashes)
+            different.append(np.unique(hashes))
+        shingles = np.unique(np.concatenate(different))
+        for s in range(0, len(shingles), block):
+            part = shingles[s : s + block]
+            np.minimum(least, ((part ^ (part >> np.uint64(29)))[:, None] * factors).min(axis=0), out=least)
         fp = int(np.packbits(votes * 2 > n, bitorder="little").view(np.int64)[0]) if n else 0
         bands = [xxhash.xxh64_intdigest(b.tobytes(), seed=i) for i, b in enumerate(least.reshape(BANDS, PER_BAND))]
-        return digest.digest(), fp, np.array(bands, dtype=np.uint64).view(np.int64)
+        return digest.digest(), fp, len(shingles), np.array(bands, dtype=np.uint64).view(np.int64), (least >> np.uint64(20)).astype(np.uint8).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [one(x) for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
-            columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate((pa.binary(), pa.int64(), pa.list_(pa.int64())))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "digest", "fp", "bands"])
+            columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate((pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "digest", "fp", "n", "bands", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, digest binary, fp long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, digest binary, fp long, n long, bands array<long>, sketch binary")
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -291,33 +299,173 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
 
 
+def equal_bytes(s: str, t: str) -> Column:
+    """Number of places at which two sketches have the same byte."""
+    places = F.sequence(F.lit(1), F.lit(BANDS * PER_BAND))
+    return F.size(F.filter(places, lambda i: F.substring(F.col(s), i, F.lit(1)) == F.substring(F.col(t), i, F.lit(1))))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose texts share ``similarity`` of their shingles, held against the whole sets."""
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id").dropDuplicates(["id"])
+    sets = store(shingle_sets(whole, width), "similar-sets")
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    linked = both.select("a", "b", common.alias("n"), (F.size("x") + F.size("y")).alias("m")).filter(F.col("n") >= F.lit(similarity) * (F.col("m") - F.col("n"))).select("a", "b")
+    return store(linked, "similar-links")
+
+
+GROUP = ("key", "i", "j")
+
+
+def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """Rows in which those of a (key, i, j) come together: tables with the places of their groups, all groups whole."""
+    held: pa.Table | None = None
+
+    def cut(rows: pa.Table) -> np.ndarray:
+        where = np.stack([rows.column(c).to_numpy() for c in GROUP], axis=1)
+        return np.flatnonzero(np.concatenate(([True], (where[1:] != where[:-1]).any(axis=1), [True])))
+
+    for batch in batches:
+        if batch.num_rows:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            edges = cut(held)
+            if len(edges) > 2:
+                done = int(edges[-2])
+                yield held.slice(0, done).combine_chunks(), list(zip(edges[:-2].tolist(), edges[1:-1].tolist(), strict=True))
+                held = held.slice(done)
+    if held is not None:
+        edges = cut(held)
+        yield held.combine_chunks(), list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+
+
+def flags(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """id, comp, inner, n and role of rows."""
+    ids, comps, n, role = (rows.column(c).to_numpy() for c in ("id", "comp", "n", "role"))
+    return ids, comps, rows.column("inner").to_numpy(zero_copy_only=False).astype(bool), n, role
+
+
+def allowed(one: np.ndarray, two: np.ndarray, ids: np.ndarray, comps: np.ndarray, inner: np.ndarray, n: np.ndarray, similarity: float) -> np.ndarray:
+    """Which places ``one`` may be linked to which places ``two``, by component and size. Two inner members meet from either side; one is enough."""
+    open_ = (comps[one][:, None] != comps[two]) & (~inner[two] | (ids[one][:, None] < ids[two]))
+    return open_ & (np.minimum(n[one][:, None], n[two]) >= similarity * np.maximum(n[one][:, None], n[two]))
+
+
+def alike(similarity: float):
+    """Of rows (key, i, j, role, id, comp, inner, n, sketch): key, i, j, role and id of those whose sketch is like one of the other role."""
+    least = least_equal(similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, places in by_group(batches):
+            ids, comps, inner, n, role = flags(rows)
+            sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, BANDS * PER_BAND)
+            marked = np.zeros(len(rows), dtype=bool)
+            for s, e in places:
+                one, two = s + np.flatnonzero(role[s:e] == 0), s + np.flatnonzero(role[s:e] == 1)
+                step = max(1, (1 << 22) // max(1, len(two)))
+                for t in range(0, len(one), step):
+                    x, y = np.nonzero(allowed(one[t : t + step], two, ids, comps, inner, n, similarity))
+                    for u in range(0, len(x), 1 << 16):
+                        p, q = one[t + x[u : u + (1 << 16)]], two[y[u : u + (1 << 16)]]
+                        near = (sketch[p] == sketch[q]).sum(axis=1) >= least
+                        marked[p[near]] = marked[q[near]] = True
+            yield from rows.select([*GROUP, "role", "id", "comp", "inner", "n"]).filter(pa.array(marked)).to_batches()
+
+    return run
+
+
+def linked_in_groups(similarity: float):
+    """Of rows (key, i, j, role, id, comp, inner, n, shingles): links (a, b) of components that join what exact similarity joins, without cycles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, places in by_group(batches):
+            ids, comps, inner, n, role = flags(rows)
+            lists = rows.column("shingles").combine_chunks()
+            lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+            offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            out = []
+            for s, e in places:
+                words, number = np.unique(flat[offsets[s] : offsets[e]], return_inverse=True)
+                at = offsets[s : e + 1] - offsets[s]
+                mark = np.zeros(len(words), dtype=bool)
+                two = s + np.flatnonzero(role[s:e] == 1)
+                here = comps[s:e].copy()
+                for p in (s + np.flatnonzero(role[s:e] == 0)).tolist():
+                    q = two[allowed(np.array([p]), two, ids, comps, inner, n, similarity)[0] & (here[two - s] != here[p - s])]
+                    if not len(q):
+                        continue
+                    own = number[at[p - s] : at[p - s + 1]]
+                    mark[own] = True
+                    ends = np.cumsum(n[q])
+                    common = np.add.reduceat(mark[np.concatenate([number[at[i] : at[i + 1]] for i in (q - s).tolist()])], ends - n[q], dtype=np.int64)
+                    mark[own] = False
+                    for i in q[common >= similarity * (n[p] + n[q] - common)].tolist():
+                        if here[i - s] != here[p - s]:
+                            out.append((comps[p], comps[i]))
+                            here[here == here[i - s]] = here[p - s]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def across(texts: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """texts (id, comp, n, bands, sketch): links (a, b) of components, by pairs of members that share a band and are similar.
+
+    A list whose members are of one component is done. Of any other, members outside its
+    largest component (the inner ones) meet all members, in blocks of about ``SIDE`` members
+    and ``SHINGLES`` shingles at most: a list of m members, o of them inner, gives about
+    2 m o / SIDE rows, so one that a large group of copies fills costs in proportion to its
+    length. Sketches tell which members of a block are like another; those come back with
+    their whole sets, are compared exactly, and give a spanning forest, not all pairs.
+    """
+    listed = texts.select("id", "comp", "n", F.explode("bands").alias("key"))
+    by_comp = listed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+    open_ = by_comp.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum("c").alias("members"), F.sum("s").alias("all"), F.max(F.struct("c", "comp", "s")).alias("top")).filter("comps > 1")
+    blocks = lambda c, s: F.greatest(F.ceil(c / F.lit(SIDE)), F.ceil(s / F.lit(SHINGLES)), F.lit(1)).cast("long")
+    open_ = open_.select("key", F.col("top.comp").alias("top"), blocks(F.col("members"), F.col("all")).alias("nb"), blocks(F.col("members") - F.col("top.c"), F.col("all") - F.col("top.s")).alias("ob"))
+    rows = listed.join(open_, "key").withColumn("inner", F.col("comp") != F.col("top")).withColumn("h", F.abs(F.xxhash64("id") % 1000003))
+    long = lambda x: F.lit(x).cast("long")
+    first = rows.filter("inner").select("key", (F.col("h") % F.col("ob")).alias("i"), F.explode(F.sequence(long(0), F.col("nb") - 1)).alias("j"), long(0).alias("role"), "id", "inner")
+    second = rows.select("key", F.explode(F.sequence(long(0), F.col("ob") - 1)).alias("i"), (F.col("h") % F.col("nb")).alias("j"), long(1).alias("role"), "id", "inner")
+    dealt = first.union(second).join(texts.select("id", "comp", "n", "sketch"), "id").select(*GROUP, "role", "id", "comp", "inner", "n", "sketch")
+    together = lambda df: df.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    kinds = "key long, i long, j long, role long, id long, comp long, inner boolean, n long"
+    marked = store(together(dealt).mapInArrow(alike(similarity), kinds), "similar-marked")
+    whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(marked.select("id").distinct(), "id").dropDuplicates(["id"])
+    sets = store(shingle_sets(whole, width), "similar-sets")
+    return store(together(marked.join(sets, "id")).mapInArrow(linked_in_groups(similarity), "a long, b long").distinct(), "similar-joined")
+
+
 def similar(docs: DataFrame, width: int = SIMILAR_WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id and component_id of every row: the smallest doc_id that links of ``similarity`` or more reach.
 
-    Texts of equal words are one. Different ones are compared if bit slices find their
-    fingerprints within ``RADIUS`` bits, or if they share a MinHash band with the list's first
-    text and their fingerprints are not ``FAR`` apart; what links them is the exact share of
-    common shingles. A list gives each member one pair, so the work grows with its length only.
+    Texts of equal words are one. Candidates are fingerprints that bit slices find within
+    ``RADIUS`` bits, and members of one MinHash band; what links them is the exact share of
+    common shingles. A band's members first meet its first text only, which joins a group
+    of copies by one pair a member. Those that this leaves in different components then meet
+    each other (``across``), so no two members of a band that are similar stay apart.
+    Null and empty texts are one text. Rows without a doc_id are left out.
     """
     rows = store(sketches(docs.filter("doc_id IS NOT NULL"), width), "similar-docs")
-    texts = store(rows.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "similar-texts")
-    listed = texts.select("id", "fp", F.explode("bands").alias("key"))
-    heads = listed.groupBy("key").agg(F.min(F.struct("id", "fp")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", F.col("head.id").alias("to"), F.col("head.fp").alias("to_fp"))
-    banded = listed.join(heads, "key").filter((F.col("id") != F.col("to")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("to_fp"))) <= FAR)).select("id", "to")
+    texts = store(rows.groupBy("digest").agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in ("fp", "n", "bands", "sketch"))), "similar-texts")
+    listed = texts.select("id", "n", F.explode("bands").alias("key"))
+    heads = listed.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("key", F.col("head.id").alias("to"), F.col("head.n").alias("to_n"))
+    sized = F.least("n", "to_n") >= F.lit(similarity) * F.greatest("n", "to_n")
+    banded = listed.join(heads, "key").filter((F.col("id") != F.col("to")) & sized).select("id", "to")
     by_fp = texts.groupBy("fp").agg(F.min("id").alias("fp_id"))
     same_fp = texts.join(by_fp, "fp").filter("id <> fp_id").select("id", F.col("fp_id").alias("to"))
     close = links(by_fp.select("fp"), RADIUS)
     close = close.join(by_fp.select(F.col("fp").alias("a"), F.col("fp_id").alias("id")), "a").join(by_fp.select(F.col("fp").alias("b"), F.col("fp_id").alias("to")), "b").select("id", "to")
     pairs = banded.union(same_fp).union(close).select(F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).distinct()
-    pairs = store(pairs, "similar-pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id").dropDuplicates(["id"])
-    sets = store(shingle_sets(whole, width), "similar-sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    linked = both.select("a", "b", common.alias("n"), (F.size("x") + F.size("y")).alias("m")).filter(F.col("n") >= F.lit(similarity) * (F.col("m") - F.col("n"))).select("a", "b")
-    roots = components(store(linked, "similar-links"))
-    named = texts.join(roots, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("root", "id").alias("component_id"))
+    pairs = pairs.join(texts.select(F.col("id").alias("a"), F.col("sketch").alias("s")), "a").join(texts.select(F.col("id").alias("b"), F.col("sketch").alias("t")), "b")
+    pairs = store(pairs.filter(equal_bytes("s", "t") >= least_equal(similarity)).select("a", "b"), "similar-pairs")
+    roots = components(verified(pairs, docs, width, similarity))
+    placed = store(texts.join(roots, F.col("id") == F.col("node"), "left").select("digest", "id", F.coalesce("root", "id").alias("comp"), "n", "bands", "sketch"), "similar-placed")
+    roots = components(across(placed, docs, width, similarity))
+    named = placed.join(roots, F.col("comp") == F.col("node"), "left").select("digest", F.coalesce("root", "comp").alias("component_id"))
     return rows.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")
 
 
