@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 
 import pytest
@@ -87,3 +88,32 @@ def test_masked(spark):
     rows = {r["doc_id"]: r for r in secrets.masked(df).collect()}
     assert rows[1]["text"] == "my [secret], ok" and rows[2]["text"] is None and rows[3]["text"] == "clean" and rows[1]["n"] == 3
     assert secrets.masked(df.limit(0)).count() == 0
+
+
+LENGTHS = (20, 32, 64, 128, 256, 512, 700, 1500, 4000)
+
+
+def planted(spark, runs, words=400):
+    """Of ``runs`` (kind, string), each planted among ``words`` word-like candidates: the share of each kind reported whole."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(20, 40)))
+    rows = []
+    for i, (kind, run) in enumerate(runs):
+        before = " ".join(word() for _ in range(words // 2))
+        rows.append((i, kind, f"{before} {run} " + " ".join(word() for _ in range(words // 2)), len(before) + 1, len(run)))
+    df = spark.createDataFrame(rows, "doc_id long, kind string, text string, at int, size int").repartition(16)
+    got = secrets.find_secrets(df, ["kind", "at", "size"]).select("kind", "at", "size", "spans").collect()
+    caught = {}
+    for r in got:
+        hit = any(s["kind"] == 3 and (s["start"], s["end"]) == (r["at"], r["at"] + r["size"]) for s in r["spans"])
+        assert not any(s["kind"] == 3 and (s["start"], s["end"]) != (r["at"], r["at"] + r["size"]) for s in r["spans"])
+        caught.setdefault(r["kind"], []).append(hit)
+    return {k: sum(v) / len(v) for k, v in caught.items()}
+
+
+def test_long_random_runs_are_not_lost(spark):
+    rng = random.Random(5)
+    alphabet = secrets.ENCODINGS["base64"][0]
+    runs = [(str(n), "".join(rng.choices(alphabet, k=n))) for n in LENGTHS for _ in range(40)]
+    share = planted(spark, [x for x in runs if re.search("[0-9]", x[1])], words=60)
+    assert min(share.values()) >= 0.85, share
