@@ -117,3 +117,33 @@ def test_long_random_runs_are_not_lost(spark):
     runs = [(str(n), "".join(rng.choices(alphabet, k=n))) for n in LENGTHS for _ in range(40)]
     share = planted(spark, [x for x in runs if re.search("[0-9]", x[1])], words=60)
     assert min(share.values()) >= 0.85, share
+
+
+def test_every_encoding_is_reported(spark):
+    rng = random.Random(6)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = {"base36": lower + digits, "upper base36": lower.upper() + digits, "lower base32": lower + "234567", "base62": lower + lower.upper() + digits}
+    runs = [(f"{name} {n}", "".join(rng.choices(a, k=n))) for name, a in alphabets.items() for n in (20, 64, 1500) for _ in range(40)]
+    groups = ["-".join("".join(rng.choices("0123456789abcdef", k=n)) for n in (8, 4, 4, 4, 12)) for _ in range(80)]
+    runs += [("uuid", x) for x in groups[:40]] + [("upper uuid", x.upper()) for x in groups[40:]]
+    no_digit = ["".join(rng.choices(lower + lower.upper() + "+/", k=20)) for _ in range(200)]
+    runs += [("no digit", x) for x in no_digit if "+" in x or "/" in x][:40]
+    hex_run = re.compile("[0-9a-f]{16}")  # a base span of its own
+    alone = [(k, x) for k, x in runs if not hex_run.search(x) and re.search("[0-9+/]", x)]
+    share = planted(spark, alone, words=60)
+    assert len(share) == 15 and min(share.values()) >= 0.8, share
+
+
+def test_words_with_digits_are_not_random(spark):
+    rng = random.Random(7)
+    words = "the section of report chapter user final version image photo data model train step node server build release".split()
+
+    def name(between):
+        out = ""
+        while len(out) < 24:
+            out += (between if out else "") + rng.choice(words) + (str(rng.randrange(100)) if rng.random() < 0.5 else "")
+        return out + "7"
+
+    runs = [(kind, name(between)) for kind, between in {"lower": "", "dashed": "-", "path": "/"}.items() for _ in range(60)]
+    share = planted(spark, runs, words=20)
+    assert max(share.values()) <= 0.3, share

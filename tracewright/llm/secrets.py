@@ -1,8 +1,9 @@
 """Secret scans: three fixed patterns, and a battery of randomness tests for the rest.
 
 The fixed patterns (assign, access, hex) give the base spans. Beyond them, every run of
-20 or more key-like characters is read as decimal, hex, base32 or base64, whichever is the
-narrowest alphabet that holds it, and tested against the hypothesis that its symbols are
+20 or more key-like characters is read as decimal, hex (also in groups between dashes),
+base32, base36 (of either case), base62 or base64, whichever is the narrowest alphabet that
+holds it, and tested against the hypothesis that its symbols are
 independent and uniform: chi-squared over equal cells of the alphabet, Wald-Wolfowitz runs
 about its middle, and lag-1 serial correlation. Fisher's method joins the three p-values.
 A Benjamini-Hochberg procedure over all candidates of the table, each p-value divided by a
@@ -37,13 +38,21 @@ HEX = r"[0-9a-f]{16,}"
 LEAST_VALUE = 12
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+#: Letters from the rarest to the commonest: in this order, cells and halves of an alphabet tell words with digits from random strings.
+BY_USE = "zqxjkvbpygfwmucldrhsnioate"
 #: Alphabet, cells of the chi-squared test: cells divide the alphabet evenly.
 ENCODINGS = {
     "decimal": ("0123456789", 5, r"^[0-9]+$"),
     "hex": ("0123456789abcdef", 8, r"^([0-9a-f]+|[0-9A-F]+)$"),
+    "dashed hex": ("0123456789abcdef", 8, r"^(?=.*[A-Fa-f])([0-9a-f]+(-[0-9a-f]+)+|[0-9A-F]+(-[0-9A-F]+)+)$"),
     "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 8, r"^[A-Z2-7]+$"),
+    "lower base32": ("234567" + BY_USE, 8, r"^[a-z2-7]+$"),
+    "base36": ("0123456789" + BY_USE, 6, r"^([0-9a-z]+|[0-9A-Z]+)$"),
+    "base62": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 31, r"^[A-Za-z0-9]+$"),
     "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 8, r"^.*$"),
 }
+#: Letters alone are words, whatever the battery finds; capitals alone are base32.
+WORDS = r"^(?=.*[a-z])[A-Za-z]+$"
 FALSE_DISCOVERIES = 0.05
 #: Candidates below this joint p-value are never random, whatever the table's other candidates.
 LEAST_P = 0.01
@@ -131,7 +140,7 @@ def joint_p(places: Column, k: Column, cells: Column) -> Column:
 
 
 def randomness(hit: Column) -> Column:
-    """The joint p-value of a candidate under the narrowest encoding that holds it; 0 for base64 without a digit or one of the cases, as words and paths are."""
+    """The joint p-value of a candidate under the narrowest encoding that holds it; 0 for letters alone, as words are."""
 
     def chosen(of) -> Column:
         out = None
@@ -141,13 +150,12 @@ def randomness(hit: Column) -> Column:
 
     def read(name: str) -> Column:
         alphabet, cells, _ = ENCODINGS[name]
-        source = F.lower(hit) if name == "hex" else F.translate(hit, "-_", "+/") if name == "base64" else hit
+        source = F.lower(hit) if name in ("hex", "base36") else F.lower(F.translate(hit, "-", "")) if name == "dashed hex" else F.translate(hit, "-_", "+/") if name == "base64" else hit
         return F.struct(source.alias("source"), F.lit(alphabet).alias("alphabet"), F.lit(len(alphabet)).alias("k"), F.lit(cells).alias("cells"))
 
     def tested(e: Column) -> Column:
         places = F.transform(F.filter(F.split(e["source"], ""), lambda c: c != ""), lambda c: F.instr(e["alphabet"], c) - 1)
-        word = (e["k"] == 64) & ~(hit.rlike("[0-9]") & hit.rlike("[A-Z]") & hit.rlike("[a-z]"))
-        return F.when(word, F.lit(0.0)).otherwise(let(places, lambda v: joint_p(v, e["k"], e["cells"])))
+        return F.when(hit.rlike(WORDS), F.lit(0.0)).otherwise(let(places, lambda v: joint_p(v, e["k"], e["cells"])))
 
     return let(chosen(read), tested)
 
