@@ -69,6 +69,32 @@ def test_differencing(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_copies_are_passed_over(spark):
+    frame = "<p>Welcome to the site</p>{}<p>All rights reserved</p>"
+    story = lambda i: f"<p>Story number {i} is about {i * 7919} things and goes on for a while, as stories of its kind do</p>"
+    # Runs of equal and of nearly equal pages, between two others.
+    rows = [page(100, frame.format(story(0)))] + [page(200 + i, frame.format(story(1))) for i in range(7)]
+    rows += [page(300 + i, frame.format(story(2) + f"<p>Seen {i}</p>")) for i in range(30)] + [page(400, frame.format(story(3)))]
+    # Short articles in a large frame.
+    large = "<p>" + "Menu of the whole site " * 20 + "</p>{}<p>" + "Small print " * 30 + "</p>"
+    rows += [page(500 + i, large.format(f"<p>Short one, {i * 31}</p>"), "short.example") for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    want = {100: 0, 400: 3} | {200 + i: 1 for i in range(7)} | {300 + i: 2 for i in range(30)}
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for ranges in (1, 23):
+            spark.conf.set("spark.sql.shuffle.partitions", ranges)
+            got = {r["page_id"]: r["text"].split("\n") for r in html_text.extract(df).collect()}
+            assert len(got) == len(rows)
+            for i, n in want.items():
+                assert got[i][0].startswith(f"Story number {n} ") and got[i][1:] == ([f"Seen {i - 300}"] if n == 2 else []), (ranges, i)
+            assert all(got[500 + i] == [f"Short one, {i * 31}"] for i in range(9))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+
+
 def test_query(spark, sf_dir):
     rows = html_text.op7_html(spark, sf_dir).collect()
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}

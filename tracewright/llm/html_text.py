@@ -5,14 +5,21 @@ bars, forms, scripts, styles ...), and those whose class, id or role says so, ar
 If what remains has an article or main element, its blocks are the text.
 
 Other pages don't say where their text lies. Their lines are compared with those of the
-nearest pages: pages are ordered by host and URL path, each is paired with its neighbours
-on the same host, the lines of a pair are aligned by longest common subsequence, and shared
-lines are deleted. A neighbour that shares most of a page's text is a copy of it, not a
-frame around it, and deletes nothing; neither are lines inside an article element deleted,
-since copies of an article stand on many hosts and whole articles are wanted.
+nearest pages that are not copies: of pages with the same lines on a host one is taken, and
+these are ordered by host and URL path. Neighbours that share most of each other's text are
+a run of copies; the nearest page beyond the run on either side, on the same host, is
+aligned with the page by longest common subsequence, and shared lines are deleted. Should
+it share most of the page's text all the same, the next run is tried, and so on through
+``REACH`` runs. What is shared is counted without the lines that nearly all runs of the host
+have, so short articles in a large frame are no copies. Where all pages of a host share most
+of their text, lines that nearly all have are taken for a frame, if there are three pages;
+an article that stands on all of them goes then as well. Lines inside an article
+element are never deleted, since copies of an article stand on many hosts and whole
+articles are wanted.
 
 Pages are ordered by a range exchange that carries line hashes, not pages, so a host may
-hold any share of them; a page at the edge of a task's range has one neighbour there.
+hold any share of them. Each task gets the outermost runs of all ranges, so where a range
+ends makes no difference.
 
 Null html gives empty text, a null url a host of its own. Pages of one URL are neighbours.
 Repeated rows give repeated results. Extra columns are ignored.
@@ -22,10 +29,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import sha256
 from html import unescape
 from urllib.parse import urlsplit
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +55,12 @@ BESIDE = re.compile(
 MAIN = re.compile(r"(?:^|[\s_-])(?:main|article|article-?body|post-?(?:body|content)|entry-?content|main-?content)(?:$|[\s_-])")
 TAG = re.compile(r"<!--(?:.*?)(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
 MARKS = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-#: A neighbour that shares this part of a page's text is a copy.
+#: A neighbour that shares this part of a page's text, frame apart, is a copy.
 COPY = 0.8
+#: Lines in this part of a host's runs of copies are its frame; in a host of one run, of its pages, if these are several.
+FRAME, SEVERAL = 0.9, 3
+#: Runs of copies that the search for a page that is not one goes through on each side.
+REACH = 8
 #: Cells of an alignment that are kept at once; larger ones are halved first.
 CELLS = 1 << 26
 
@@ -208,51 +221,167 @@ def address(url: str | None) -> tuple[str, str]:
     return parts.netloc.lower(), parts.path
 
 
-READ = "page_id long, url string, host string, path string, settled boolean, lines array<string>, hashes array<long>"
-FINAL = "page_id long, url string, text string"
+READ = "page_id long, url string, host string, path string, settled boolean, lines array<string>, digest string, hashes array<long>, sizes array<int>"
+EDGE = "part long, run long, host string, digest string, hashes array<long>, sizes array<int>, frame array<long>"
+GONE = "host string, digest string, gone array<boolean>"
 
 
 def read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("settled", pa.bool_()), ("lines", pa.list_(pa.string()))]
+    kinds += [("digest", pa.string()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))]
     for batch in batches:
         out = []
         for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             page = Page(html or "")
             main = page.main()
             host, path = address(url)
-            lines = main if main is not None else [t for t, _ in page.blocks]
-            out.append({"page_id": page_id, "url": url, "host": host, "path": path, "settled": main is not None, "lines": lines, "hashes": [line_hash(t) for t, _ in page.blocks]})
-        kinds = [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("settled", pa.bool_()), ("lines", pa.list_(pa.string())), ("hashes", pa.list_(pa.int64()))]
+            texts = [t for t, _ in page.blocks]
+            hashes = np.array([line_hash(t) for t in texts], dtype=np.int64)
+            row = {"page_id": page_id, "url": url, "host": host, "path": path, "settled": main is not None, "lines": main if main is not None else texts}
+            out.append(row | {"digest": sha256(hashes.tobytes()).hexdigest(), "hashes": hashes, "sizes": [len(t) for t in texts]})
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema(kinds))
 
 
-def difference(page: dict, neighbours: list[dict]) -> list[str]:
-    gone = [False] * len(page["lines"])
-    total = sum(map(len, page["lines"]))
-    for other in neighbours:
-        if other["host"] == page["host"]:
-            common = shared(page["hashes"], other["hashes"])
-            if sum(len(t) for t, c in zip(page["lines"], common, strict=True) if c) < COPY * total:
-                gone = [g or c for g, c in zip(gone, common, strict=True)]
-    return [t for t, g in zip(page["lines"], gone, strict=True) if not g]
+class Lines:
+    """The lines of a page, and those of them that are not of its host's frame."""
 
+    def __init__(self, row: dict) -> None:
+        self.host, self.digest = row["host"], row["digest"]
+        self.row = row
+        self.hashes = np.array(row["hashes"], dtype=np.int64)
+        sizes = np.array(row["sizes"], dtype=np.int64)
+        own = ~np.isin(self.hashes, np.array(row.get("frame") or [], dtype=np.int64))
+        self.rest, self.sizes = self.hashes[own], sizes[own]
+        self.total = int(self.sizes.sum())
 
-def compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pages in the order of host and path: the text of those that are not settled."""
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
+    def copied_by(self, other: Lines) -> bool:
+        """Whether ``other`` shares most of this page's text, frame apart."""
+        if not self.total:
+            return False
+        common = shared(self.rest.tolist(), other.rest.tolist())
+        return int(self.sizes[np.array(common, dtype=bool)].sum()) >= COPY * self.total
 
-    def result(page: dict, neighbours: list[dict]) -> dict:
-        return {"page_id": page["page_id"], "url": page["url"], "text": "\n".join(difference(page, neighbours))}
 
-    before = page = None
+def same_run(a: Lines, b: Lines) -> bool:
+    return a.host == b.host and a.copied_by(b) and b.copied_by(a)
+
+
+def runs_of(pages: list[Lines]) -> list[list[Lines]]:
+    runs: list[list[Lines]] = []
+    for page in pages:
+        if runs and same_run(runs[-1][-1], page):
+            runs[-1].append(page)
+        else:
+            runs.append([page])
+    return runs
+
+
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[Lines]]]:
+    """The pages of each range, in order."""
+    part, held = None, []
     for batch in batches:
-        out = []
-        for after in batch.to_pylist():
-            if page and not page["settled"]:
-                out.append(result(page, [x for x in (before, after) if x]))
-            before, page = page, after
-        yield pa.RecordBatch.from_pylist(out, schema=schema)
-    if page and not page["settled"]:
-        yield pa.RecordBatch.from_pylist([result(page, [before] if before else [])], schema=schema)
+        for row in batch.to_pylist():
+            if held and row["part"] != part:
+                yield part, held
+                held = []
+            part = row["part"]
+            held.append(Lines(row))
+    if held:
+        yield part, held
+
+
+def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """First and last page of the outermost runs of each range."""
+    kinds = [("part", pa.int64()), ("run", pa.int64()), ("host", pa.string()), ("digest", pa.string()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("frame", pa.list_(pa.int64()))]
+    for _, pages in parts(batches):
+        runs = runs_of(pages)
+        near = [i for i in range(len(runs)) if i <= REACH or i >= len(runs) - 1 - REACH]
+        out = [page.row | {"run": i} for i in near for page in (runs[i] if len(runs[i]) == 1 else (runs[i][0], runs[i][-1]))]
+        yield pa.RecordBatch.from_pylist([{k: r[k] for k, _ in kinds} for r in out], schema=pa.schema(kinds))
+
+
+def differ(around: dict[int, list[list[Lines]]]):
+    """``around``: by range, its outermost runs."""
+
+    def joined(runs: list[list[Lines]], more: list[list[Lines]]) -> list[list[Lines]]:
+        if runs and more and same_run(runs[-1][-1], more[0][0]):
+            return [*runs[:-1], runs[-1] + more[0], *more[1:]]
+        return runs + more
+
+    def beside(part: int, step: int, host: str) -> list[list[Lines]]:
+        """Runs of ``host`` beyond the range's edge, as many as can be reached."""
+        runs: list[list[Lines]] = []
+        at = part + step
+        while min(around) <= at <= max(around) and len(runs) <= REACH + 1:
+            more = around.get(at, [])
+            ours = [r for r in more if r[0].host == host]
+            runs = joined(ours, runs) if step < 0 else joined(runs, ours)
+            if len(ours) < len(more):
+                break
+            at += step
+        return runs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("host", pa.string()), ("digest", pa.string()), ("gone", pa.list_(pa.bool_()))])
+        for part, pages in parts(batches):
+            own = {id(p) for p in pages}
+            runs = joined(joined(beside(part, -1, pages[0].host), runs_of(pages)), beside(part, 1, pages[-1].host))
+            out = []
+            for i, members in enumerate(runs):
+                before, after = [r[-1] for r in runs[max(i - REACH, 0) : i][::-1]], [r[0] for r in runs[i + 1 : i + 1 + REACH]]
+                for page in members:
+                    if id(page) not in own or not page.row["open"]:
+                        continue
+                    gone = np.zeros(len(page.hashes), dtype=bool)
+                    for side in (before, after):
+                        other = next((x for x in side if x.host != page.host or not page.copied_by(x)), None)
+                        if other and other.host == page.host:
+                            gone |= np.array(shared(page.hashes.tolist(), other.hashes.tolist()), dtype=bool)
+                    out.append({"host": page.host, "digest": page.digest, "gone": gone.tolist()})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return run
+
+
+DEALT = "host string, path string, page_id long, digest string, hashes array<long>, sizes array<int>, open boolean, part long"
+
+
+def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages with the number of their run in their range, and whether they are the first or last of it."""
+    for _, pages in parts(batches):
+        out, last = [], len(pages) - 1
+        for number, members in enumerate(runs_of(pages)):
+            out += [{**{k: v for k, v in m.row.items() if k != "frame"}, "run": number, "edge": False} for m in members]
+        out[0]["edge"] = out[last]["edge"] = True
+        kinds = [("host", pa.string()), ("path", pa.string()), ("page_id", pa.int64()), ("digest", pa.string()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([*kinds, ("open", pa.bool_()), ("part", pa.int64()), ("run", pa.int64()), ("edge", pa.bool_())]))
+
+
+def framed(pages: DataFrame) -> DataFrame:
+    """``pages`` (DEALT, in order) with the line hashes of their host's frame: those that nearly all its runs of copies have.
+
+    Of a host whose pages are one run, those that nearly all pages have, if these are several.
+    """
+    placed = store(pages.mapInArrow(numbered, DEALT + ", run long, edge boolean"), "html-runs")
+    ends: dict[int, list[dict]] = {}
+    for row in placed.filter("edge").toArrow().to_pylist():
+        ends.setdefault(row["part"], []).append(row | {"frame": None})
+    # A run that goes on over the edge of a range has the number it has where it begins.
+    names: dict[tuple[int, int], str] = {}
+    before = None
+    for part in sorted(ends):
+        rows = sorted(ends[part], key=lambda r: (r["run"], r["host"], r["path"], r["page_id"] if r["page_id"] is not None else -(1 << 63), r["digest"]))
+        if before and same_run(Lines(before), Lines(rows[0])):
+            names[part, 0] = names.get((before["part"], before["run"]), f"{before['part']}:{before['run']}")
+        before = rows[-1]
+    renamed = placed.sparkSession.createDataFrame([(*k, v) for k, v in names.items()], "part long, run long, name string")
+    placed = placed.join(F.broadcast(renamed), ["part", "run"], "left").withColumn("unit", F.coalesce("name", F.concat_ws(":", "part", "run")))
+    counted = placed.groupBy("host", "unit").agg(F.count(F.lit(1)).alias("n")).groupBy("host").agg(F.count(F.lit(1)).alias("runs"), F.sum("n").alias("pages"))
+    counted = counted.select("host", (F.col("runs") == 1).alias("alone"), F.when(F.col("runs") > 1, F.col("runs")).when(F.col("pages") >= SEVERAL, F.col("pages")).alias("all")).filter(F.col("all").isNotNull())
+    units = placed.join(counted, "host").withColumn("unit", F.when(F.col("alone"), F.col("digest")).otherwise(F.col("unit")))
+    lines = units.select("host", "all", "unit", F.explode("hashes").alias("hash")).distinct().groupBy("host", "all", "hash").agg(F.count(F.lit(1)).alias("n"))
+    frames = lines.filter(F.col("n") >= F.lit(FRAME) * F.col("all")).groupBy("host").agg(F.collect_list("hash").alias("frame"))
+    return placed.drop("run", "edge", "name", "unit").join(frames, "host", "left")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -260,11 +389,23 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     read = store(rows.mapInArrow(read_pages, READ), "html-pages")
     settled = read.filter("settled").select("page_id", "url", F.array_join("lines", "\n").alias("text"))
-    if read.filter("NOT settled").isEmpty():
+    silent = read.filter("NOT settled")
+    if silent.isEmpty():
         return settled
-    slim = read.withColumn("lines", F.when(F.col("settled"), F.array().cast("array<string>")).otherwise(F.col("lines")))
-    ordered = slim.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
-    return settled.union(ordered.mapInArrow(compare_neighbours, FINAL))
+    first = F.min(F.struct("path", "page_id")).alias("first")
+    unlike = read.groupBy("host", "digest").agg(first, F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes"), F.max(~F.col("settled")).alias("open"))
+    unlike = store(unlike, "html-unlike").select("host", "first.path", "first.page_id", "digest", "hashes", "sizes", "open")
+    order = ("host", "path", "page_id", "digest")
+    dealt = store(unlike.repartitionByRange(*order).withColumn("part", F.spark_partition_id().cast("long")), "html-dealt")
+    in_order = lambda df: df.repartition("part").sortWithinPartitions("part", *order)
+    ordered = in_order(store(framed(in_order(dealt)), "html-framed"))
+    around: dict[int, dict[int, list[Lines]]] = {}
+    for row in sorted(ordered.mapInArrow(edges, EDGE).toArrow().to_pylist(), key=lambda r: (r["part"], r["run"])):
+        around.setdefault(row["part"], {}).setdefault(row["run"], []).append(Lines(row))
+    gone = store(ordered.mapInArrow(differ({k: list(v.values()) for k, v in around.items()}), GONE), "html-gone")
+    left = F.filter("lines", lambda t, i: ~F.element_at("gone", i + 1))
+    text = silent.join(gone, ["host", "digest"]).select("page_id", "url", F.array_join(left, "\n").alias("text"))
+    return settled.union(text)
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
