@@ -89,6 +89,17 @@ def test_similar_odd_rows(spark):
     assert simhash.deduplicated(df.limit(0)).count() == 0
 
 
+def test_different_texts_of_one_id_stay(spark):
+    other = lambda n: " ".join(f"{w}{n}" for w in "k l m n o p q r s t u v".split())
+    rows = [(5, other(1)), (5, other(2)), (5, other(2)), (5, other(3)), (4, other(3)), (9, other(1)), (None, other(1)), (5, None), (8, "")]
+    rows += [(20 + i // 2, other(10 + i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    kept = sorted(((r["doc_id"] or 0, r["text"] or "") for r in simhash.deduplicated(df).collect()))
+    assert kept == sorted([(0, other(1)), (5, other(1)), (5, other(2)), (4, other(3)), (5, "")] + rows[9:])
+    groups = Counter(tuple(r) for r in simhash.similar(df).collect())
+    assert sum(groups.values()) == len(rows) - 1 and groups[4, 4] == 1 and groups[5, 4] == 1 and groups[9, 5] == 1 and groups[8, 5] == 1
+
+
 def mix_by_force(rows):
     """rows (doc_id, source, size): targets by bisection on the water level."""
     sizes = Counter()

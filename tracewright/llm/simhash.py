@@ -439,16 +439,8 @@ def across(texts: DataFrame, docs: DataFrame, width: int, similarity: float) ->
     return store(together(marked.join(sets, "id")).mapInArrow(linked_in_groups(similarity), "a long, b long").distinct(), "similar-joined")
 
 
-def similar(docs: DataFrame, width: int = SIMILAR_WIDTH, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id and component_id of every row: the smallest doc_id that links of ``similarity`` or more reach.
-
-    Texts of equal words are one. Candidates are fingerprints that bit slices find within
-    ``RADIUS`` bits, and members of one MinHash band; what links them is the exact share of
-    common shingles. A band's members first meet its first text only, which joins a group
-    of copies by one pair a member. Those that this leaves in different components then meet
-    each other (``across``), so no two members of a band that are similar stay apart.
-    Null and empty texts are one text. Rows without a doc_id are left out.
-    """
+def linked_texts(docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``similar`` of ``docs`` in which all rows of a doc_id have the same text."""
     rows = store(sketches(docs.filter("doc_id IS NOT NULL"), width), "similar-docs")
     texts = store(rows.groupBy("digest").agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in ("fp", "n", "bands", "sketch"))), "similar-texts")
     listed = texts.select("id", "n", F.explode("bands").alias("key"))
@@ -469,10 +461,66 @@ def similar(docs: DataFrame, width: int = SIMILAR_WIDTH, similarity: float = SIM
     return rows.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")
 
 
+def separated(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ``docs`` with a doc_id, with a number _node for each doc_id and text, and the numbers that are not doc_ids (id, _node).
+
+    A doc_id's first text has the doc_id itself, further ones a hash; None if there are none.
+    """
+    rows = docs.filter("doc_id IS NOT NULL")
+    of = (F.col("doc_id").cast("long"), F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    texts = store(rows.select(of[0].alias("id"), of[1].alias("sha")).distinct(), "similar-variants")
+    several = texts.groupBy("id").agg(F.min("sha").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    more = store(texts.join(several, "id").filter("sha <> least").select("id", "sha"), "similar-further")
+    if more.isEmpty():
+        return rows.withColumn("_node", of[0]), None
+    for seed in range(8):
+        named = store(more.withColumn("_node", F.xxhash64("id", "sha", F.lit(seed))), "similar-named")
+        used = named.select("_node").union(texts.select("id").distinct())
+        if used.groupBy("_node").count().filter("count > 1").isEmpty():
+            break
+    else:
+        raise ValueError("no free numbers for further texts")
+    wide = rows.withColumn("_id", of[0]).withColumn("_sha", of[1])
+    found = wide.join(named.withColumnRenamed("_node", "_further"), (F.col("_id") == F.col("id")) & (F.col("_sha") == F.col("sha")), "left")
+    return found.withColumn("_node", F.coalesce("_further", "_id")).select(*(rows[f"`{c}`"] for c in rows.columns), "_node"), named.select("id", "_node")
+
+
+def grouped(nodes: DataFrame, further: DataFrame | None, width: int, similarity: float) -> DataFrame:
+    """Of each row of ``nodes``: _node, its doc_id and the component's number."""
+    found = linked_texts(nodes.select(F.col("_node").alias("doc_id"), "text"), width, similarity).select(F.col("doc_id").alias("_node"), F.col("component_id").alias("component"))
+    if further is None:
+        return found.withColumn("doc_id", F.col("_node"))
+    return found.join(further, "_node", "left").select("_node", F.coalesce("id", "_node").alias("doc_id"), "component")
+
+
+def similar(docs: DataFrame, width: int = SIMILAR_WIDTH, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id and component_id of every row: the smallest doc_id that links of ``similarity`` or more reach.
+
+    Texts of equal words are one. Candidates are fingerprints that bit slices find within
+    ``RADIUS`` bits, and members of one MinHash band; what links them is the exact share of
+    common shingles. A band's members first meet its first text only, which joins a group
+    of copies by one pair a member. Those that this leaves in different components then meet
+    each other (``across``), so no two members of a band that are similar stay apart.
+    Null and empty texts are one text. Rows without a doc_id are left out. Different texts
+    of one doc_id are linked each for itself.
+    """
+    nodes, further = separated(docs)
+    found = grouped(nodes, further, width, similarity)
+    if further is None:
+        return found.select("doc_id", F.col("component").alias("component_id"))
+    found = store(found, "similar-grouped")
+    return found.join(found.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select("doc_id", "component_id")
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, of each group of near-duplicates the one of the smallest doc_id; of rows of one id, one. Rows without an id stay."""
-    first = similar(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.filter("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    """The rows of ``docs``, of each group of near-duplicates the one of the smallest doc_id; of rows of one id and text, one. Rows without an id stay."""
+    nodes, further = separated(docs)
+    found = grouped(nodes, further, SIMILAR_WIDTH, SIMILARITY)
+    if further is None:
+        first = found.filter("_node = component").select(F.col("_node").alias("_kept")).distinct()
+    else:
+        first = found.groupBy("component").agg(F.min(F.struct("doc_id", "_node")).alias("least")).select(F.col("least._node").alias("_kept"))
+    kept = nodes.join(first, F.col("_node") == F.col("_kept"), "left_semi").dropDuplicates(["_node"]).drop("_node")
     return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 
