@@ -45,3 +45,13 @@ def test_odd_rows(spark):
     none = quality.quality_scores(docs, quality.train(docs, labels.limit(0))).collect()
     assert {r["score"] for r in none} == {0.5}
     assert quality.quality_scores(docs.limit(0), quality.train(docs.limit(0), labels)).count() == 0
+
+
+def test_repeated_ids_leave_room_in_the_pool(spark, monkeypatch):
+    monkeypatch.setattr(quality, "UNLABELLED", 5)
+    taken = []
+    monkeypatch.setattr(quality.CoTrained, "fit", lambda self, known, y, fold, pool: taken.append(len(pool[0])) or self)
+    rows = [(i, f"text of {i}", "s", "en", 9) for i in range(20) for _ in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    quality.train(docs, spark.createDataFrame([(100, 1), (0, 0)], "doc_id long, quality int"))
+    assert taken == [15]

@@ -156,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> CoTrain
     fold = F.crc32(F.col("id").cast("string").cast("binary")) % FOLDS
     sample = store(marked.filter(fold != HELD_OUT).orderBy(F.xxhash64("id"), "label").limit(LABELLED), "quality-labels")
     others = docs.select(F.col("doc_id").alias("id")).filter("id IS NOT NULL").join(marked.select("id"), "id", "left_anti")
-    pool = store(others.orderBy(F.xxhash64(F.col("id"), F.lit(7)), "id").limit(UNLABELLED).distinct().select("id", F.lit(-1).alias("label")), "quality-pool")
+    pool = store(others.distinct().orderBy(F.xxhash64(F.col("id"), F.lit(7)), "id").limit(UNLABELLED).select("id", F.lit(-1).alias("label")), "quality-pool")
     chosen = F.broadcast(sample.union(pool))  # LABELLED + UNLABELLED short rows at most
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"))
     rows = bare.join(chosen, F.col("doc_id") == F.col("id")).select("doc_id", "label", "text", "source", "lang", "n_chars")
