@@ -106,3 +106,9 @@ def test_query(spark, sf_dir):
     n = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert len(rows) == 2 * n and all(r["restored"] for r in rows)
     assert len({(r["doc_id"], r["ids_sha256"]) for r in rows}) == 2 * n
+
+
+def test_query_returns_piece_ids(spark, sf_dir):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = pieces.decoded(pieces.op9_pieces(spark, sf_dir)).collect()
+    assert len(rows) == 2 * len(texts) and all(len(r["ids"]) == r["n_pieces"] and r["decoded"] == (texts[r["doc_id"]] or "") for r in rows)

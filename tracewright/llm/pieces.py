@@ -469,7 +469,7 @@ def groups(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
 
 def sampler(vocabulary: Vocabulary, k: int, seed: int, digest: bool):
     kinds = [("row_key", pa.int64()), ("sample", pa.int32()), ("n_pieces", pa.int64()), ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64())]
-    schema = pa.schema([*kinds, *([("ids_sha256", pa.string()), ("restored", pa.bool_())] if digest else [("ids", pa.list_(pa.int32()))])])
+    schema = pa.schema([*kinds, ("ids", pa.list_(pa.int32())), *([("ids_sha256", pa.string()), ("restored", pa.bool_())] if digest else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = Lattices(vocabulary)
@@ -480,7 +480,7 @@ def sampler(vocabulary: Vocabulary, k: int, seed: int, digest: bool):
                 for key, text, drawn in zip(keys, texts, sample_group(texts, [x or 0 for x in keys], lattices, k, seed), strict=True):
                     for i, (edges, log_p, value, inclusion) in enumerate(drawn):
                         ids = vocabulary.ids(edges)
-                        last = (hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), vocabulary.decode(ids) == (text or "").encode()) if digest else (ids,)
+                        last = (ids, hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), vocabulary.decode(ids) == (text or "").encode()) if digest else (ids,)
                         for values, x in zip(out, (key, i + 1, len(ids), log_p, value, inclusion, *last), strict=True):
                             values.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
@@ -490,8 +490,8 @@ def sampler(vocabulary: Vocabulary, k: int, seed: int, digest: bool):
 
 def segmentations(docs: DataFrame, key: str = "doc_id", k: int = K, seed: int = SEED, model: str = MODEL, digest: bool = False) -> DataFrame:
     """A row for each of up to k distinct segmentations of every text: row_key, sample (1 to k, in falling order of perturbed),
-    n_pieces, log_prob, perturbed, inclusion, and ids, or for ``digest`` their SHA-256 and whether decoding restores the text."""
-    last = "ids_sha256 string, restored boolean" if digest else "ids array<int>"
+    n_pieces, log_prob, perturbed, inclusion, ids, and for ``digest`` their SHA-256 and whether decoding restores the text."""
+    last = "ids array<int>" + (", ids_sha256 string, restored boolean" if digest else "")
     rows = docs.select(F.col(key).cast("long").alias("row_key"), F.col("text").alias("text"))
     return rows.mapInArrow(sampler(Vocabulary.load(model), k, seed, digest), f"row_key long, sample int, n_pieces long, log_prob double, perturbed double, inclusion double, {last}")
 
