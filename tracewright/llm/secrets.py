@@ -10,7 +10,8 @@ A Benjamini-Hochberg procedure over all candidates of the table, each p-value di
 weight that grows with length up to 1 (short strings can hardly be told from random ones),
 rejects those that are not random; what it leaves, and no fixed threshold refuses, is
 reported as a span of kind ``random``. No weight is above 1, so neither is their mean, and
-length alone rejects nothing: of random strings of any length 1 in 20 at most is lost.
+length alone rejects nothing. Among many words about 1 in 15 random strings is lost at any
+length: the rate of 1 in 20, and the error of the battery's approximations.
 
 All of it is column expressions. Positions follow from the lengths of the pieces between
 matches. The only statistic of the whole table is a histogram of p-values with a fixed
