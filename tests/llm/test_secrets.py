@@ -147,3 +147,43 @@ def test_words_with_digits_are_not_random(spark):
     runs = [(kind, name(between)) for kind, between in {"lower": "", "dashed": "-", "path": "/"}.items() for _ in range(60)]
     share = planted(spark, runs, words=20)
     assert max(share.values()) <= 0.3, share
+
+
+def test_reported_bins_against_brute_force(spark):
+    rng = random.Random(9)
+    rows = [(i, [(rng.choice((0, 2, 6)), min(secrets.BINS, int(rng.expovariate(0.02)))) for _ in range(rng.randrange(6))]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, candidates array<struct<stratum:int,bin:int>>")
+    ordinary = secrets.background(spark).select("stratum", secrets.p_bin(secrets.randomness(F.col("hit"))).alias("bin"), "hit").collect()
+    assert all(len(r["hit"]) >= secrets.CLASSES[r["stratum"] % 5] and bool(re.match(secrets.WORDS, r["hit"])) == (r["stratum"] >= 5) for r in ordinary)
+    for rate in (0.05, 0.9):
+        want = []
+        for s in range(secrets.STRATA):
+            seen = [b for _, x in rows for t, b in x if t == s]
+            bins = [r["bin"] for r in ordinary if r["stratum"] == s]
+            p = lambda b, bins=bins: (sum(x <= b for x in bins) + 1) / (len(bins) + 1)
+            m = min(len(seen), 2 * (sum(p(x) > 0.5 for x in seen) + 1))
+            passed = [b for b in sorted(set(seen) | set(bins)) if any(x <= b for x in seen) and p(b) * m <= rate * sum(x <= b for x in seen)]
+            want.append(max(passed, default=-1))
+        assert secrets.reported_bins(df, rate) == want
+        assert max(want) >= 0
+
+
+def test_very_many_matches(spark):
+    """Time grows with little more than their number; positions and masks are right to the end."""
+    hexes = " ".join(f"{i * 0x9E3779B97F4A7C15 % 2**64:016x}" for i in range(100_000)) + " é tail"
+    df = spark.createDataFrame([(1, hexes, 0), (2, "é" * 50_000 + " token=abcdefghijklmnop " * 3_000 + "end", 0)], "doc_id long, text string, n_chars int")
+    got = {r["doc_id"]: r for r in secrets.find_secrets(df, ["doc_id"]).collect()}
+    for i, text in df.select("doc_id", "text").collect():
+        assert [(s["start"], s["kind"], s["end"]) for s in got[i]["base"]] == base_spans(text)
+    clean = {r["doc_id"]: r for r in secrets.masked(df).collect()}
+    assert clean[1]["text"] == " ".join(["[secret]"] * 100_000) + " é tail" and clean[1]["n_chars"] == len(clean[1]["text"])
+    assert clean[2]["text"] == "é" * 50_000 + " [secret] " * 3_000 + "end"
+
+
+def test_columns_named_like_internal_ones(spark):
+    names = ["base", "spans", "candidates", "low", "_text", "apart", "tested", "hit", "hex", "stratum", "_0", "_masked"]
+    df = spark.createDataFrame([("my token=abcdefghijklmnop deadbeefdeadbeefdeadbeef", *names), (None, *names), ("", *names)], ", ".join(f"`{c}` string" for c in ["text", *names]))
+    got = secrets.masked(df)
+    assert got.columns == df.columns and all(list(r[1:]) == names for r in got.collect())
+    assert sorted(str(r["text"]) for r in got.collect()) == ["", "None", "my [secret] [secret]"]
+    assert secrets.find_secrets(df, ["text", "hex"]).columns == ["text", "hex", "base", "spans"] and secrets.find_secrets(df, ["text", "hex"]).count() == 3

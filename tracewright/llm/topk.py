@@ -1,148 +1,222 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A vector's code has one bit per dimension: 1 where the component is over 0. Codes are cut
-into m segments of about log2(n) bits. For radius 0, 1, ... and segment by segment, a query
-looks up every value that differs from its own in exactly that many bits, verifies what it
-finds by full Hamming distance, and stops once its kth distance is covered: after radius r
-in segments 0..j and r - 1 in the others, every code within m * r + j has been seen.
-
-The rows are dealt to shards of a fixed size by code, the queries to blocks of a fixed
-size; a task holds one shard and one block. Copies of a vector share a code, of which only
-the k + 1 smallest ids are kept: Spark limits them before the shuffle, and no further one
-can be among k neighbours.
+A vector's code has one bit per dimension: 1 where the component is over 0. Codes, as long as
+the longest vector, are cut into m segments of about log2(n) bits. In round r = 0, 1, ...
+a query looks up, in every segment, every value that differs from its own in exactly r bits,
+and verifies what it finds by full Hamming distance. After round r every code within
+m * (r + 1) - 1 has been seen; queries whose kth distance this covers are done, and only the
+others go on.
+
+Distribution: a code is sent once a segment, to the bucket of its value's upper bits; a query
+only to those buckets that hold values it probes in this round. Buckets of more than
+``shard_rows`` codes are dealt to shards by a hash of the code, so no task holds more. Equal
+codes are one code with its smallest ids, and equal queries one query, so copies cost nothing.
 
 Rows whose embedding is null are neither searched nor found. Missing components and NaN
-give 0 bits, those beyond the 64th are not read. A query does not find rows of its own id;
-ties go to the smaller id; repeated rows count once. Extra columns are ignored.
+give 0 bits, however long the longest vector is. A query does not find rows of its own id;
+ties go to the smaller id; repeated rows count once. An empty table gives no rows. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
+from math import ceil, log2
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracewright.llm._shared import by_value, store, table
+from tracewright.llm._shared import by_value, frugal, store, table
 
-BITS = 64
-SHARD_ROWS = 1 << 16
+#: Codes of one shard, and queries compared with it at once.
+SHARD_ROWS = 1 << 14
 BLOCK_QUERIES = 256
 K = 10
 EVERY = 50
+#: Bits of a segment, at least and at most.
+NARROW, WIDE = 4, 24
+#: Found codes verified at once.
+VERIFIED = 1 << 18
+
 
+def encoder(n_bytes: int):
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                ids, lists = batch.column(0).slice(start, 1024), batch.column(1).slice(start, 1024)
+                sizes = np.diff(lists.offsets.to_numpy())
+                flat = lists.flatten().to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                bits = np.zeros((len(sizes), n_bytes * 8), dtype=np.uint8)
+                bits[row, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat > 0
+                yield pa.RecordBatch.from_arrays([ids, pa.array([b.tobytes() for b in np.packbits(bits, axis=1)], pa.binary())], names=["vec_id", "code"])
 
-def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, codes = [], []
-        for i, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False), strict=True):
-            if vector is not None:
-                bits = np.zeros(BITS, dtype=np.uint8)
-                head = np.asarray(vector[:BITS], dtype=np.float64) > 0
-                bits[: len(head)] = head
-                ids.append(i)
-                codes.append(int(np.packbits(bits).view(">i8")[0]))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(codes, pa.int64())], names=["vec_id", "code"])
+    return encode
 
 
-@lru_cache(maxsize=256)
 def flips(bits: int, radius: int) -> np.ndarray:
     """All numbers of ``bits`` bits with ``radius`` bits set."""
-    return np.array([sum(1 << b for b in c) for c in combinations(range(bits), radius)], dtype=np.uint64)
-
-
-class SegmentIndex:
-    def __init__(self, codes: np.ndarray) -> None:
-        self.codes = codes
-        width = max(4, min(16, int(np.log2(max(len(codes), 2)))))
-        self.m = -(-BITS // width)
-        edges = [BITS * j // self.m for j in range(self.m + 1)]
-        self.segments = []
-        for a, b in zip(edges, edges[1:], strict=False):
-            values = (codes >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1)
-            order = np.argsort(values, kind="stable")
-            self.segments.append((a, b - a, order, np.searchsorted(values[order], np.arange((1 << (b - a)) + 1, dtype=np.uint64))))
-
-    def within(self, query: np.uint64, enough) -> tuple[np.ndarray, np.ndarray]:
-        """Places and distances of all codes seen until ``enough(distances seen, covered)``."""
-        seen = np.zeros(len(self.codes), dtype=bool)
-        places, distances = [], []
-        for radius in range(max(w for _, w, _, _ in self.segments) + 1):
-            for j, (shift, width, order, starts) in enumerate(self.segments):
-                if radius <= width:
-                    probes = ((query >> np.uint64(shift)) & np.uint64((1 << width) - 1)) ^ flips(width, radius)
-                    lo, hi = starts[probes], starts[probes + np.uint64(1)]
-                    n = hi - lo
-                    if total := int(n.sum()):
-                        at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(total)
-                        new = order[at]
-                        new = new[~seen[new]]
-                        if len(new):
-                            seen[new] = True
-                            places.append(new)
-                            distances.append(np.bitwise_count(self.codes[new] ^ query))
-                if enough(distances, self.m * radius + j):
-                    break
-            else:
-                continue
+    return np.array([sum(1 << b for b in c) for c in combinations(range(bits), radius)], dtype=np.int64)
+
+
+def unpacked(column: pa.Array) -> np.ndarray:
+    """Codes as rows of bits."""
+    data = column.to_pylist()
+    return np.unpackbits(np.frombuffer(b"".join(data), np.uint8).reshape(len(data), -1), axis=1) if data else np.zeros((0, 8), np.uint8)
+
+
+class Segments:
+    """Where codes are cut: m segments of nearly equal width, and how many upper bits of each name a bucket."""
+
+    def __init__(self, bits: int, n: int, shard_rows: int) -> None:
+        width = max(NARROW, min(WIDE, int(log2(max(n, 2)))))
+        self.m = ceil(bits / width)
+        self.edges = [bits * j // self.m for j in range(self.m + 1)]
+        self.widths = [b - a for a, b in zip(self.edges, self.edges[1:], strict=False)]
+        self.widest = max(self.widths)
+        self.upper = [min(w, max(0, ceil(log2(max(n / shard_rows, 1))))) for w in self.widths]
+
+    def values(self, bits: np.ndarray, j: int) -> np.ndarray:
+        part = bits[:, self.edges[j] : self.edges[j + 1]].astype(np.int64)
+        return part @ (1 << np.arange(part.shape[1] - 1, -1, -1, dtype=np.int64))
+
+
+def places(cut: Segments):
+    """Of rows (code): key (segment and bucket) and code, a row for each segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = unpacked(batch.column(0))
+            for j in range(cut.m):
+                bucket = cut.values(bits, j) >> (cut.widths[j] - cut.upper[j])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket << 8 | j), batch.column(0)], names=["key", "code"])
+
+    return run
+
+
+def probes(cut: Segments, radius: int):
+    """Of rows (query): key, query and rest, for each bucket with values at ``radius``: ``rest`` of the differing bits are below the bucket's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = unpacked(batch.column(0))
+            for j in range(cut.m):
+                lower = cut.widths[j] - cut.upper[j]
+                bucket = cut.values(bits, j) >> lower
+                for high in range(min(radius, cut.upper[j]) + 1):
+                    if radius - high <= lower:
+                        for flip in flips(cut.upper[j], high).tolist():
+                            yield pa.RecordBatch.from_arrays([pa.array((bucket ^ flip) << 8 | j), batch.column(0), pa.array(np.full(len(bucket), radius - high, dtype=np.int32))], names=["key", "query", "rest"])
+
+    return run
+
+
+def searcher(cut: Segments, need: int, block: int):
+    """Of one shard's rows (key, shard, code, ids) and the queries (key, shard, query, rest) sent there: the ``need`` nearest ids of each query at the probed values."""
+    schema = pa.schema([("query", pa.binary()), ("neighbor_id", pa.int64()), ("distance", pa.int32())])
+
+    def search(_: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
+        if not rows.num_rows or not queries.num_rows:
+            return schema.empty_table()
+        j = rows.column("key")[0].as_py() & 255
+        lower = cut.widths[j] - cut.upper[j]
+        mask = (1 << lower) - 1
+        bits, asked = unpacked(rows.column("code").combine_chunks()), unpacked(queries.column("query").combine_chunks())
+        values = cut.values(bits, j) & mask
+        order = np.argsort(values, kind="stable")
+        values, packed = values[order], np.packbits(bits, axis=1)[order]
+        lists = rows.column("ids").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        ids, begin = lists.values.to_numpy(), lists.offsets.to_numpy()[:-1][order]
+        count = np.diff(lists.offsets.to_numpy())[order]
+        rest, own, wanted = queries.column("rest").to_numpy(), cut.values(asked, j) & mask, np.packbits(asked, axis=1)
+        out = []
+
+        def verify(q: np.ndarray, at: np.ndarray) -> None:
+            """Found places ``at`` of queries ``q``, which come together: the ids of the nearest."""
+            far = np.bitwise_count(packed[at] ^ wanted[q]).sum(axis=1, dtype=np.int32)
+            n = count[at]
+            q, far = np.repeat(q, n), np.repeat(far, n)
+            near = ids[np.repeat(begin[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            rank = np.lexsort((near, far, q))
+            q, far, near = q[rank], far[rank], near[rank]
+            first = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1])))
+            nth = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+            out.append((q[nth < need], near[nth < need], far[nth < need]))
+
+        for radius in np.unique(rest).tolist():
+            flip = flips(lower, radius)
+            mine = np.flatnonzero(rest == radius)
+            for s in range(0, len(mine), max(1, min(block, VERIFIED // len(flip)))):
+                q = mine[s : s + max(1, min(block, VERIFIED // len(flip)))]
+                probe = own[q][:, None] ^ flip
+                low, high = np.searchsorted(values, probe, "left"), np.searchsorted(values, probe, "right")
+                n = (high - low).sum(axis=1)
+                # Queries in runs of about VERIFIED found codes.
+                group = np.cumsum(n) // VERIFIED
+                for g in np.unique(group[n > 0]).tolist():
+                    part = np.flatnonzero((group == g) & (n > 0))
+                    size = (high - low)[part].ravel()
+                    at = np.repeat(low[part].ravel() - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+                    verify(np.repeat(q[part], n[part]), at)
+        if not out:
+            return schema.empty_table()
+        q, near, far = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.table([queries.column("query").combine_chunks().take(pa.array(q)), pa.array(near), pa.array(far.astype(np.int32))], schema=schema)
+
+    return search
+
+
+def nearest(points: DataFrame, asked: DataFrame, bits: int, need: int, shard_rows: int, block_queries: int) -> DataFrame:
+    """points (code, ids), asked (query): query, neighbor_id and distance of the ``need`` nearest ids of each query, its own among them."""
+    cut = Segments(bits, points.count(), shard_rows)
+    placed = points.select("code").mapInArrow(frugal(places(cut)), "key long, code binary")
+    placed = store(placed.join(points, "code").select("key", "code", "ids"), "topk-placed")
+    # Of each bucket, its number of shards: rows are fewer than codes by a factor of shard_rows / m.
+    shards = store(placed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).cast("int").alias("shards")), "topk-shards")
+    dealt = store(placed.join(shards, "key").select("key", F.pmod(F.xxhash64("code"), F.col("shards")).cast("int").alias("shard"), "code", "ids"), "topk-dealt")
+    best, left, found = None, asked, None
+    for radius in range(cut.widest + 1):
+        sent = left.mapInArrow(frugal(probes(cut, radius)), "key long, query binary, rest int").join(shards, "key")
+        sent = sent.select("key", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "query", "rest")
+        new = dealt.groupBy("key", "shard").cogroup(sent.groupBy("key", "shard")).applyInArrow(searcher(cut, need, block_queries), "query binary, neighbor_id long, distance int")
+        # A code that several segments find comes several times.
+        both = (new if best is None else new.union(best)).groupBy("query", "neighbor_id", "distance").agg(F.lit(1)).drop("1")
+        rank = Window.partitionBy("query").orderBy("distance", "neighbor_id")
+        best = store(both.withColumn("nth", F.row_number().over(rank)).filter(F.col("nth") <= need), "topk-best")
+        covered = best.filter((F.col("nth") == need) & (F.col("distance") <= cut.m * (radius + 1) - 1)).select("query")
+        done = best.join(covered, "query", "left_semi") if radius < cut.widest else best
+        done = done.select("query", "neighbor_id", "distance")
+        found = done if found is None else found.union(done)
+        left = store(left.join(covered, "query", "left_anti"), "topk-left")
+        if radius == cut.widest or left.isEmpty():
             break
-        join = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
-        return join(places, np.int64), join(distances, np.uint8)
-
-
-def search(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k nearest of one shard's rows for each query of one block."""
-    names = ["query_id", "query_code", "neighbor_id", "distance"]
-    if rows.empty or queries.empty:
-        return pd.DataFrame({c: pd.Series(dtype="int64") for c in names})
-    rows = rows.sort_values(["code", "vec_id"], kind="stable")
-    owners = rows["code"].to_numpy()
-    first = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1])))
-    copies = np.diff(np.append(first, len(owners)))
-    index, ids = SegmentIndex(owners[first].view(np.uint64)), rows["vec_id"].to_numpy()
-    out = []
-    for query_id, code in zip(queries["vec_id"].to_numpy(), queries["code"].to_numpy(), strict=True):
-        need = k + 1  # the query's own row may be among them
-
-        def enough(distances: list[np.ndarray], covered: int, need: int = need) -> bool:
-            if sum(map(len, distances)) < need:
-                return False
-            return int(np.partition(np.concatenate(distances), need - 1)[need - 1]) <= covered
-
-        places, distances = index.within(np.int64(code).view(np.uint64), enough)
-        at = np.concatenate([np.arange(first[p], first[p] + copies[p]) for p in places]) if copies.max() > 1 and len(places) else first[places]
-        far = np.repeat(distances, copies[places]).astype(np.int64)
-        near = ids[at]
-        other = near != query_id
-        near, far = near[other], far[other]
-        best = np.lexsort((near, far))[:k]
-        out.append(pd.DataFrame({"query_id": query_id, "query_code": code, "neighbor_id": near[best], "distance": far[best]}))
-    return pd.concat(out, ignore_index=True)[names]
+        best = best.join(left, "query", "left_semi").select("query", "neighbor_id", "distance")
+    return found
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """query_id, query_code, neighbor_id, distance, rank: the k nearest codes of every row whose vec_id ``every`` divides."""
-    codes = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).filter("vec_id IS NOT NULL").mapInArrow(encode, "vec_id long, code long")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).filter("vec_id IS NOT NULL AND embedding IS NOT NULL")
+    bits = 8 * max(1, ceil((rows.agg(F.max(F.size("embedding"))).first()[0] or 0) / 8))
+    codes = rows.mapInArrow(frugal(encoder(bits // 8)), "vec_id long, code binary")
     codes = store(codes.dropDuplicates(["vec_id", "code"]), "topk-codes")
-    shards = max(1, -(-codes.count() // shard_rows))
     asked = codes.filter(F.col("vec_id") % every == 0)
-    blocks = max(1, -(-asked.count() // block_queries))
+    # A query leaves out what has its own id: one code, unless ids are repeated with different vectors.
+    own = asked.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
+    need = k + own
     least = Window.partitionBy("code").orderBy("vec_id")
-    kept = codes.withColumn("nth", F.row_number().over(least)).filter(F.col("nth") <= k + 1)
-    kept = kept.select("vec_id", "code", F.pmod(F.xxhash64("code"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    asked = asked.select("vec_id", "code", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>")).alias("shard"), F.pmod(F.xxhash64("vec_id", "code"), F.lit(blocks)).cast("int").alias("block"))
-    found = (
-        kept.groupBy("shard", "block")
-        .cogroup(asked.groupBy("shard", "block"))
-        .applyInPandas(lambda rows, queries: search(rows, queries, k), "query_id long, query_code long, neighbor_id long, distance long")
-    )
-    best = Window.partitionBy("query_id", "query_code").orderBy("distance", "neighbor_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    kept = codes.withColumn("nth", F.row_number().over(least)).filter(F.col("nth") <= need)  # Spark limits them before the exchange
+    points = store(kept.groupBy("code").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "topk-points")  # need ids at most
+    queries = store(asked.select(F.col("code").alias("query")).distinct(), "topk-queries")
+    found = store(nearest(points, queries, bits, need, shard_rows, block_queries), "topk-found")
+    mine = asked.join(found, F.col("code") == F.col("query")).filter("vec_id <> neighbor_id")
+    best = Window.partitionBy("vec_id", "code").orderBy("distance", "neighbor_id")
+    ranked = mine.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.select(F.col("vec_id").alias("query_id"), F.col("code").alias("query_code"), "neighbor_id", F.col("distance").cast("long").alias("distance"), "rank")
 
 
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
