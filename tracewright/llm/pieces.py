@@ -12,8 +12,9 @@ path k + 1, a path of log probability l has inclusion score 1 - exp(-exp(l - t))
 
 Spaces become the meta symbol, one stands before a text, and no piece has it after another
 character, so a lattice falls apart into chunks that begin with spaces. Chunks recur: a task
-keeps the lattices of those it met, up to ``KEPT`` edges, and then begins anew. All walks of
-some megabytes of text advance together, one edge at a time.
+keeps the lattices of those it met, up to ``KEPT`` edges or those of one group of texts, and
+then begins anew. All walks of a group of about ``GROUP`` bytes advance together, one edge at a
+time, so a task's memory does not grow with its rows, only with its longest text.
 
 Noise is a hash of seed, row key, path, chunk and step, so it does not depend on how rows
 are dealt to tasks. Decoding restores every text exactly, a literal meta symbol too.
@@ -30,12 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewright.llm._shared import by_value, table
+from tracewright.llm._shared import by_value, frugal, sliced, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 META = 0x2581
@@ -44,7 +44,8 @@ LITERAL = 0x110000
 #: Ids from here on are characters (less this) written as byte pieces.
 BYTES = 1 << 22
 K, SEED = 2, 11
-GROUP, KEPT = 1 << 20, 1 << 22
+#: Bytes of text walked together, and edges of lattices that a task keeps (33 bytes each).
+GROUP, KEPT = 1 << 18, 1 << 21
 WORD = (1 << 64) - 1
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -102,7 +103,7 @@ class Vocabulary:
         self.piece[list(ends)] = list(ends.values())
         self.bits = max(8, int(len(nodes) * 4).bit_length())
         size = 1 << self.bits
-        self.keys, self.next = np.full(size + 64, -1, dtype=np.int64), np.zeros(size + 64, dtype=np.int64)
+        self.keys, self.next = np.full(size + 64, -1, dtype=np.int64), np.zeros(size + 64, dtype=np.int32)
         for (node, char), to in nodes.items():
             key = node << 21 | char
             slot = (key * int(MULTIPLIER) & (1 << 64) - 1) >> (64 - self.bits)
@@ -203,6 +204,7 @@ class Lattices:
         self.clear(KEPT)
 
     def clear(self, edges: int) -> None:
+        self.begin = self.end = self.source = self.to = self.piece = self.p = self.upto = None  # the old ones go first
         self.table = Table(edges // 4)  # a chunk's hash: its first node
         self.nodes = self.edges = 0
         self.begin = np.zeros(edges + 1, dtype=np.int32)  # node: its first edge
@@ -232,7 +234,7 @@ class Lattices:
             s, e = starts[missing[first]], ends[missing[first]]
             made = self.build(chars, s, e)
             if made is None:  # no room: begin anew with this group's chunks
-                self.clear(max(KEPT, 24 * int((ends - starts + 1).sum())))
+                self.clear(KEPT)
                 return self.place(chars, starts, ends)
             self.table.add(new, made)
             out[missing] = self.table.find(values[missing])
@@ -268,7 +270,9 @@ class Lattices:
         np.cumsum(number, out=head[1:])
         n = int(head[-1])
         if self.edges + n > len(self.to) or self.nodes + total >= len(self.begin):
-            return None
+            if self.nodes:
+                return None
+            self.clear(max(n, total + 1))  # one group alone needs more than is kept
         source = np.repeat(np.arange(total), number)
         target, piece, next_ = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64), head[:-1].copy()
         for where, length, ids in found:
@@ -456,34 +460,22 @@ def sample_group(texts: list[str | None], keys: list[int], lattices: Lattices, k
     return [[(lattices.piece[p.edges], p.log_p, p.value, float(-np.expm1(-np.exp(min(p.log_p - t, 700.0)))) if t > -np.inf else 1.0) for p in drawn] for drawn, t in zip(paths, threshold, strict=True)]
 
 
-def groups(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    start = size = 0
-    for i, n in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
-        size += n or 0
-        if size >= GROUP:
-            yield batch.slice(start, i + 1 - start)
-            start, size = i + 1, 0
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def sampler(vocabulary: Vocabulary, k: int, seed: int, digest: bool):
     kinds = [("row_key", pa.int64()), ("sample", pa.int32()), ("n_pieces", pa.int64()), ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("inclusion", pa.float64())]
     schema = pa.schema([*kinds, ("ids", pa.list_(pa.int32())), *([("ids_sha256", pa.string()), ("restored", pa.bool_())] if digest else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = Lattices(vocabulary)
-        for batch in batches:
-            for group in groups(batch, 1):
-                keys, texts = (c.to_pylist() for c in group.columns)
-                out: list[list] = [[] for _ in schema]
-                for key, text, drawn in zip(keys, texts, sample_group(texts, [x or 0 for x in keys], lattices, k, seed), strict=True):
-                    for i, (edges, log_p, value, inclusion) in enumerate(drawn):
-                        ids = vocabulary.ids(edges)
-                        last = (ids, hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), vocabulary.decode(ids) == (text or "").encode()) if digest else (ids,)
-                        for values, x in zip(out, (key, i + 1, len(ids), log_p, value, inclusion, *last), strict=True):
-                            values.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
+        for group in sliced(batches, 1, GROUP):
+            keys, texts = (c.to_pylist() for c in group.columns)
+            out: list[list] = [[] for _ in schema]
+            for key, text, drawn in zip(keys, texts, sample_group(texts, [x or 0 for x in keys], lattices, k, seed), strict=True):
+                for i, (edges, log_p, value, inclusion) in enumerate(drawn):
+                    ids = vocabulary.ids(edges)
+                    last = (ids, hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), vocabulary.decode(ids) == (text or "").encode()) if digest else (ids,)
+                    for values, x in zip(out, (key, i + 1, len(ids), log_p, value, inclusion, *last), strict=True):
+                        values.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
 
     return run
 
@@ -493,11 +485,12 @@ def segmentations(docs: DataFrame, key: str = "doc_id", k: int = K, seed: int =
     n_pieces, log_prob, perturbed, inclusion, ids, and for ``digest`` their SHA-256 and whether decoding restores the text."""
     last = "ids array<int>" + (", ids_sha256 string, restored boolean" if digest else "")
     rows = docs.select(F.col(key).cast("long").alias("row_key"), F.col("text").alias("text"))
-    return rows.mapInArrow(sampler(Vocabulary.load(model), k, seed, digest), f"row_key long, sample int, n_pieces long, log_prob double, perturbed double, inclusion double, {last}")
+    return rows.mapInArrow(frugal(sampler(Vocabulary.load(model), k, seed, digest)), f"row_key long, sample int, n_pieces long, log_prob double, perturbed double, inclusion double, {last}")
 
 
 def decoded(rows: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
-    """``rows`` with the text of their array column ``ids`` (null: null) in a column decoded."""
+    """``rows`` with the text of their array column ``ids`` (null: null) in a column decoded, in place of one of that name."""
+    rows = rows.drop("decoded")
     vocabulary, at = Vocabulary.load(model), rows.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
