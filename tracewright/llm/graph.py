@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm._shared import store
+from tracewright.llm._shared import discard, mark, store
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -21,6 +21,7 @@ def _signature(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b): node and root, the component's smallest node, of every node that is not a root."""
     ordered = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    start = mark()
     now = store(ordered, "cc-edges")
     before = _signature(now)
     while before[0]:
@@ -31,6 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = store(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "cc-small")
+        discard(start, 1)  # the round before is done with
         after = _signature(now)
         if after == before:
             break

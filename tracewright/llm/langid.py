@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm._shared import by_value, table
+from tracewright.llm._shared import by_value, frugal, sliced, table
 
 BUCKETS = 1 << 15
 FOLDS, HELD_OUT = 4, 2
@@ -55,7 +55,7 @@ def trigrams(text: str) -> np.ndarray:
 
 def count_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in sliced(batches, 0):
         for text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             counts = trigrams(text)
             if lang in sums:
@@ -70,7 +70,7 @@ def count_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """docs (text, lang): languages, and the log probability of each bucket under each (BUCKETS, languages)."""
     known = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    sums = known.mapInArrow(count_languages, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    sums = known.mapInArrow(frugal(count_languages), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(sums.column("lang").to_pylist()))
     counts = np.zeros((BUCKETS, len(names)))
     if names:
@@ -120,7 +120,7 @@ def identify(docs: DataFrame, names: list[str], log_p: np.ndarray, keep: list[st
     """``keep`` of every row of ``docs`` (text) with lang_pred, score and mixture (language to proportion)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 0):
             found = [languages(t, log_p, penalty) for t in batch.column(0).to_pylist()]
             predicted = [names[f[0][0]] if f else UNKNOWN for f in found]
             score = [min(1.0, f[0][1]) if f else 0.0 for f in found]
@@ -129,7 +129,7 @@ def identify(docs: DataFrame, names: list[str], log_p: np.ndarray, keep: list[st
 
     rows = docs.select(F.col("text").alias("_text"), *keep)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double, mixture map<string,double>")
+    return rows.mapInArrow(frugal(run), f"{kinds}, lang_pred string, score double, mixture map<string,double>")
 
 
 def fold(docs: DataFrame) -> DataFrame:
@@ -147,10 +147,14 @@ def language_id(docs: DataFrame) -> DataFrame:
 def recognised(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is found: a learned one that at least ``least`` of the text is in."""
     names, log_p = learn(docs.select("text", "lang"))
-    columns = docs.columns
-    inner = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)], F.col("text"))
-    found = identify(inner, names, log_p, [f"_c{i}" for i in range(len(columns))])
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)])
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, at):
+            best = [languages(t, log_p)[:1] for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array([bool(b) and b[0][1] >= least for b in best]))
+
+    return docs.mapInArrow(frugal(run), docs.schema)
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm._shared import by_value, store, table
+from tracewright.llm._shared import by_value, frugal, sliced, store, table
 from tracewright.llm.graph import components
 
 SEED = 42
@@ -75,11 +75,11 @@ def fingerprint(text: bytes | None, width: int = WIDTH) -> int:
 
 def fingerprints(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             values = [fingerprint(x, width) for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(frugal(run), "doc_id long, fp long")
 
 
 class BitSlices:
@@ -220,7 +220,7 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
         raise ValueError("the exact route for long lists covers a radius of 0, 1 or 2")
     listed = nodes.select(F.explode(list_keys(F.col("fp"), radius)).alias("key"), "fp")
     dealt = listed.repartitionByRange("key", "fp").sortWithinPartitions("key", "fp")
-    found = store(dealt.mapInArrow(compare_lists(radius), "a long, b long"), "simhash-links")
+    found = store(dealt.mapInArrow(frugal(compare_lists(radius)), "a long, b long"), "simhash-links")
     rest = found.filter("b IS NULL").select(F.col("a").alias("fp")).distinct()
     # Points within one bit; for radius 1 a member must be the point itself, which linking by the member's own value ensures.
     one_bit = [F.col("fp").bitwiseXOR(F.lit((1 << b) - (1 << 64) * (b == 63))) for b in range(64)]
@@ -282,21 +282,21 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
         return digest.digest(), fp, len(shingles), np.array(bands, dtype=np.uint64).view(np.int64), (least >> np.uint64(20)).astype(np.uint8).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             made = [one(x) for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
             columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate((pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "digest", "fp", "n", "bands", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, digest binary, fp long, n long, bands array<long>, sketch binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(frugal(run), "doc_id long, digest binary, fp long, n long, bands array<long>, sketch binary")
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             sets = [np.unique(np.concatenate([*shingle_hashes(x, width), np.empty(0, np.uint64)])).view(np.int64) for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, shingles array<long>")
+    return docs.select("id", "text").mapInArrow(frugal(run), "id long, shingles array<long>")
 
 
 def equal_bytes(s: str, t: str) -> Column:
@@ -433,10 +433,10 @@ def across(texts: DataFrame, docs: DataFrame, width: int, similarity: float) ->
     dealt = first.union(second).join(texts.select("id", "comp", "n", "sketch"), "id").select(*GROUP, "role", "id", "comp", "inner", "n", "sketch")
     together = lambda df: df.repartition(*GROUP).sortWithinPartitions(*GROUP)
     kinds = "key long, i long, j long, role long, id long, comp long, inner boolean, n long"
-    marked = store(together(dealt).mapInArrow(alike(similarity), kinds), "similar-marked")
+    marked = store(together(dealt).mapInArrow(frugal(alike(similarity)), kinds), "similar-marked")
     whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(marked.select("id").distinct(), "id").dropDuplicates(["id"])
     sets = store(shingle_sets(whole, width), "similar-sets")
-    return store(together(marked.join(sets, "id")).mapInArrow(linked_in_groups(similarity), "a long, b long").distinct(), "similar-joined")
+    return store(together(marked.join(sets, "id")).mapInArrow(frugal(linked_in_groups(similarity)), "a long, b long").distinct(), "similar-joined")
 
 
 def linked_texts(docs: DataFrame, width: int, similarity: float) -> DataFrame:
