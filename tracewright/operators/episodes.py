@@ -30,9 +30,10 @@ def length_cutoff(episodes: DataFrame, quantile: float) -> DataFrame:
 
 
 def length_rules(episodes: DataFrame, t: Thresholds, cutoff: DataFrame | None = None) -> DataFrame:
-    """episodes (.., length) with reason: short, brief, marathon or null. ``cutoff`` comes from all sources, before any subset."""
+    """episodes (.., length) with reason: short, brief, marathon or null. A column fps holds each dataset's own rate. ``cutoff`` comes from all sources, before any subset."""
+    fps = F.col("fps") if "fps" in episodes.columns else F.lit(t.fps)
     one = F.broadcast(cutoff if cutoff is not None else length_cutoff(episodes, t.length_quantile))
-    reason = F.when(F.col("length") < t.min_frames, "short").when(F.col("length") < t.min_seconds * t.fps, "brief").when(F.col("length") > F.col("max_frames"), "marathon")
+    reason = F.when(F.col("length") < t.min_frames, "short").when(F.col("length") < F.lit(t.min_seconds) * fps, "brief").when(F.col("length") > F.col("max_frames"), "marathon")
     return episodes.join(one).withColumn("reason", reason).drop("max_frames")
 
 
@@ -43,33 +44,39 @@ def deltas(frames: DataFrame, keys: list[str], order: str, vector: str = "action
     return wide.withColumn("delta", absolute_delta(F.col(vector), F.lag(vector).over(w)))
 
 
-def trajectories(frames: DataFrame, keys: list[str], order: str, dims: int, t: Thresholds, vector: str = "action") -> DataFrame:
-    """Per episode: n_frames, finite, travel and idle (null without a second frame).
+def trajectories(frames: DataFrame, keys: list[str], order: str, t: Thresholds, vector: str = "action", also: tuple[str, ...] = ()) -> DataFrame:
+    """Per episode: n_frames, finite (``vector`` and the vectors ``also``), travel and idle (null without a second frame).
 
-    The episode's ranges come from a window over the partitioning that the deltas need
-    anyway, so frames are exchanged once.
+    Vectors may have any number of dimensions. An episode's ranges are one aggregate by
+    episode and dimension, joined to its frames; deltas take one window.
     """
-    episode = Window.partitionBy(*keys)
-    moved = deltas(frames, keys, order, vector)
-    part = [F.greatest(F.lit(t.still_part) * (F.max(F.col(vector)[i]).over(episode) - F.min(F.col(vector)[i]).over(episode)), F.lit(t.still_floor)) for i in range(dims)]
-    moved = moved.withColumn("limits", F.array(*part))
+    names = [f"`{c}`" for c in (vector, *also)]
+    frames = frames.select(*keys, order, *[F.col(n).alias(f"_v{i}") for i, n in enumerate(names)])
+    per = frames.select(*keys, F.posexplode("_v0").alias("_dim", "_x")).groupBy(*keys, "_dim").agg((F.max("_x").cast("double") - F.min("_x").cast("double")).alias("_range"))
+    limit = F.greatest(F.lit(t.still_part) * F.col("_range"), F.lit(t.still_floor))
+    limits = per.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_dim", limit.alias("limit")))), lambda s: s["limit"]).alias("limits"))  # one entry a dimension
+    moved = deltas(frames, keys, order, "_v0").join(limits, keys, "left")
     still = all_below(F.col("delta"), F.col("limits")).cast("double")
+    finite = all_finite(F.col("_v0"))
+    for i in range(1, len(names)):
+        finite &= all_finite(F.col(f"_v{i}"))
     return moved.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_frames"),
-        F.bool_and(all_finite(F.col(vector))).alias("finite"),
+        F.bool_and(finite).alias("finite"),
         F.coalesce(F.sum(total(F.col("delta"))), F.lit(0.0)).alias("travel"),
         F.avg(still).alias("idle"),
     )
 
 
-def quality_plan(episodes: DataFrame, frames: DataFrame, keys: list[str], order: str, dims: int, t: Thresholds, cutoff: DataFrame | None = None) -> DataFrame:
+def quality_plan(episodes: DataFrame, frames: DataFrame, keys: list[str], order: str, dims: int | None, t: Thresholds, cutoff: DataFrame | None = None, vector: str = "action", also: tuple[str, ...] = ()) -> DataFrame:
     """episodes (keys, length) with keep, reason and metric: the first rule that applies, in the order short, brief, marathon, nan_actions, zero_travel, idle.
 
-    Episodes without frames are kept. Only survivors of the length rules meet their frames.
+    Episodes without frames are kept. NaN and infinite values count in ``vector`` and in the
+    vectors ``also`` (the state); ``dims`` is not needed any more. Only survivors of the length rules meet their frames.
     """
     judged = length_rules(episodes, t, cutoff)
     left = judged.filter("reason IS NULL").select(*keys)
-    moved = trajectories(frames.join(left, keys, "left_semi"), keys, order, dims, t)
+    moved = trajectories(frames.join(left, keys, "left_semi"), keys, order, t, vector, also)
     idle = F.col("idle").isNotNull() & ~F.isnan("idle") & (F.col("idle") >= t.idle_max)
     later = F.when(~F.col("finite"), "nan_actions").when(F.col("travel") < t.min_travel, "zero_travel").when(idle, "idle")
     found = moved.select(*keys, later.alias("later"), "travel", "idle")

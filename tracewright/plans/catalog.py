@@ -92,7 +92,7 @@ def action_deltas(t):
 
 
 def tracks(t: Tables) -> DataFrame:
-    return episodes.trajectories(frames(t), ["episode"], "ts", 1, T)
+    return episodes.trajectories(frames(t), ["episode"], "ts", T)
 
 
 @query(f"WITH {TRAVEL} SELECT episode, round(travel, 6) AS travel FROM found")
@@ -133,7 +133,7 @@ steps AS (SELECT label, vec_id, sum(delta) AS way, bool_and(delta < still) AS re
 
 
 def vector_tracks(t: Tables, part: float) -> DataFrame:
-    return episodes.trajectories(t.embeddings.select("label", "vec_id", "embedding"), ["label"], "vec_id", 64, Thresholds(still_part=part), "embedding")
+    return episodes.trajectories(t.embeddings.select("label", "vec_id", "embedding"), ["label"], "vec_id", Thresholds(still_part=part), "embedding")
 
 
 @query(f"WITH {VECTORS.format(part=0.01)} SELECT label, round(sum(way), 6) AS travel FROM steps GROUP BY label")
