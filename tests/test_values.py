@@ -42,8 +42,10 @@ def test_statistics_in_their_own_form(spark):
     assert got == ["[3]", "[[[0.1]],[[0.2]],[[0.3]]]", "[1.0,2.0]"]
     odd = spark.createDataFrame([("[[1, 2.5], [3, -4e-2]]",), ("7",), ("[]",)], "t string").select(stats.normalised(F.parse_json("t")))
     assert [r[0] for r in odd.collect()] == [[1.0, 2.5, 3.0, -0.04], [7.0], []]
-    sizes = spark.range(1).select(*[stats.shrunk_count(F.sequence(F.lit(1), F.lit(n)), F.array(F.lit(9), F.lit(9))).alias(str(n)) for n in (64, 65)]).first()
-    assert (sizes["64"], sizes["65"]) == ([9, 9], [9])
+    counts = spark.createDataFrame([([9],), (None,)], "c array<bigint>").select(stats.shrunk_count(F.col("c")))
+    assert [r[0] for r in counts.collect()] == [[9], [1]]
+    wide = spark.range(1).select(*[F.size(stats.shrunk(*[F.transform(F.sequence(F.lit(1), F.lit(n)), lambda x: x.cast("double"))] * 4)["min"]).alias(str(n)) for n in (64, 65)]).first()
+    assert (wide["64"], wide["65"]) == (64, 1)
 
 
 def test_positions_of_a_manifest_are_distinct(spark, tmp_path):

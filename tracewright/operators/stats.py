@@ -80,9 +80,9 @@ def shrunk(low: Column, high: Column, mean: Column, std: Column, most: int = 64)
     return {name: F.when(wide, F.array(one[name])).otherwise(old) for name, old in zip(one, (low, high, mean, std), strict=True)}
 
 
-def shrunk_count(low: Column, count: Column, most: int = 64) -> Column:
-    """The count that goes with ``shrunk``: of vectors of more than ``most`` dimensions the first one alone."""
-    return F.when(F.size(low) > most, F.slice(count, 1, 1)).otherwise(count)
+def shrunk_count(count: Column) -> Column:
+    """The count that goes with ``shrunk``: it stays as it is, one where there is none."""
+    return F.coalesce(count, F.array(F.lit(1).cast("bigint")))
 
 
 def constant_stats(value: Column) -> dict[str, Column]:

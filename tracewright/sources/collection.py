@@ -50,10 +50,12 @@ def episode_stats(spark: SparkSession, root: str) -> DataFrame:
     return parsed.select("name", F.variant_get("v", "$.episode_index", "bigint").alias("episode_index"), F.variant_get("v", "$.stats", "variant").alias("stats"))
 
 
-def frames(spark: SparkSession, root: str, columns: list[str]) -> DataFrame:
-    """Frames of all datasets with the given columns; only these are read."""
-    read = spark.read.option("mergeSchema", True).parquet(f"{root}/*/*/data")
-    return read.select(name_of(F.col("_metadata.file_path"), "data/").alias("name"), F.col("_metadata.file_path").alias("path"), *[F.col(f"`{c}`") for c in columns])
+def frames(spark: SparkSession, root: str | list[str], columns: list[str] | None = None) -> DataFrame:
+    """Frames of all datasets with the given columns, and only these are read; all columns for None."""
+    roots = [root] if isinstance(root, str) else root
+    read = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(*[f"{r}/*/*/data" for r in roots])
+    path = F.col("_metadata.file_path")
+    return read.select(name_of(path, "data/").alias("name"), path.alias("path"), *[F.col(f"`{c}`") for c in (read.columns if columns is None else columns)])
 
 
 def footer_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -97,9 +99,13 @@ def stats(spark: SparkSession, roots: list[str]) -> DataFrame:
     return documents(spark, roots, "meta/stats.json").withColumn("stats", F.from_json("text", "map<string,map<string,string>>")).drop("text")
 
 
-def episode_table(spark: SparkSession, roots: list[str]) -> DataFrame:
-    """All columns of the episode tables of v3 datasets, and name; columns that a dataset lacks are null."""
-    read = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(*[f"{r}/*/*/meta/episodes" for r in roots])
+def episode_table(spark: SparkSession, roots: list[str], columns: str | None = None) -> DataFrame:
+    """Columns (DDL; all for None) of the episode tables of v3 datasets, and name; columns that a dataset lacks are null.
+
+    All columns can be had only if datasets agree on their types; ``schemas`` tells where they don't.
+    """
+    reader = spark.read.schema(columns) if columns else spark.read.option("mergeSchema", True)
+    read = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(*[f"{r}/*/*/meta/episodes" for r in roots])
     return read.withColumn("name", name_of(F.col("_metadata.file_path"), "meta/episodes/"))
 
 
