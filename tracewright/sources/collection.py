@@ -60,7 +60,7 @@ def frames(spark: SparkSession, root: str | list[str], columns: list[str] | None
 
 def footer_counts(spark: SparkSession, root: str) -> DataFrame:
     """Rows of each data file; no column is read."""
-    read = spark.read.parquet(f"{root}/*/*/data")
+    read = spark.read.schema("episode_index bigint").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(f"{root}/*/*/data")
     counted = read.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
     return counted.select(name_of(F.col("path"), "data/").alias("name"), F.regexp_extract("path", "episode_([0-9]+)[.]parquet$", 1).try_cast("bigint").alias("episode_index"), "path", "n")
 
