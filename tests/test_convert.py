@@ -71,3 +71,17 @@ def test_convert(spark, tmp_path):
     assert not (out / ".staging").exists() and (out / "a/one/meta/tasks.jsonl").exists()
     again = {r["dataset"] for r in convert.convert_collection(spark, str(top), str(out)).collect()}
     assert again == {"b/none", "b/old", "b/blind"}
+
+
+def test_card(spark):
+    from pyspark.sql import functions as F
+    from tracewright.operators import report
+
+    census = lambda n, size: report.census(spark.createDataFrame([("v2.1", n, 12345, size)], "version string, episodes long, frames long, size_bytes long"))
+    log = spark.createDataFrame([("a/x", "failed", "v2.0", "a|b"), ("a/y", "converted", "v2.1", None)], "dataset string, status string, source_version string, error string")
+    fixes = F.struct(F.create_map(F.lit("splits"), F.struct(F.lit("1").alias("from"), F.lit("2").alias("to"))).alias("aggregates"), F.array(F.lit(3).cast("long")).alias("dropped_corrupt_episodes"), F.lit(0).cast("long").alias("repaired_episode_lengths"))
+    full = log.filter("status = 'converted'").withColumn("corrections", fixes).withColumn("dropped_features", F.array(F.lit("k"))).withColumn("note", F.lit(None).cast("string"))
+    text = report.card("things", census(3, 3_000_000_000), census(2, 1_000_000_000), report.exclusions(log), report.manifest_notes(full))
+    assert "| episodes | 3 | 2 |" in text and "| frames | 12,345 | 12,345 |" in text and "| size | 3.0 GB | 1.0 GB |" in text and "smaller" in text
+    assert "| `a/x` | v2.0 | a\\|b |" in text and "| `a/y` | stale `splits` recomputed; dropped 1 corrupt episode(s) [3]; dropped v3-incompatible features ['k'] |" in text
+    assert text.startswith("---\nviewer")

@@ -8,6 +8,8 @@ of a collection; part and documents schemas and logs.
 
 from __future__ import annotations
 
+import atexit
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from tracewright.functions import vectors
 from tracewright.operators import episodes, reconcile, report, schema, sequence, stats
 from tracewright.operators.episodes import Thresholds
+from tracewright.sources import collection, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -212,7 +215,8 @@ def analytic_index_stats(t):
 
 @query("SELECT vec_id, len(embedding)::INTEGER AS size, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS total FROM embeddings")
 def deep_flatten(t):
-    nested = F.array(F.array(F.slice("embedding", 1, 32)), F.array(F.slice("embedding", 33, 32)))
+    half = F.floor(F.size("embedding") / 2).cast("int")
+    nested = F.array(F.array(F.slice("embedding", F.lit(1), half)), F.array(F.slice("embedding", half + 1, F.size("embedding") - half)))
     flat = t.embeddings.select("vec_id", vectors.flattened(nested, 3).alias("v"))
     return flat.select("vec_id", F.size("v").alias("size"), r6(vectors.total(F.col("v"))).alias("total"))
 
@@ -521,12 +525,12 @@ def tree_census(t):
 
 @query("SELECT c_nationkey AS name, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) > 1")
 def duplicate_dataset_check(t):
-    return t.customer.groupBy(F.col("c_nationkey").alias("name")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return collection.duplicates(t.customer.select(F.col("c_nationkey").alias("name"), F.col("c_custkey").alias("root"))).withColumnRenamed("roots", "n")
 
 
 @query("SELECT source AS name, sum(octet_length(encode(text)))::BIGINT AS size_bytes FROM documents GROUP BY source")
 def census_size(t):
-    return t.documents.groupBy(F.col("source").alias("name")).agg(F.sum(F.octet_length("text")).alias("size_bytes"))
+    return collection.total_sizes(t.documents.select(F.col("source").alias("name"), F.octet_length("text").alias("length")))
 
 
 @query(f"WITH {DATASETS}, done AS (SELECT name FROM datasets WHERE version = 'v3.0' AND episodes % 2 = 0) SELECT name, version, CASE WHEN name IN (SELECT name FROM done) THEN 'skipped' WHEN version NOT IN ('v2.0', 'v2.1') THEN 'unsupported' ELSE 'todo' END AS route FROM datasets")
@@ -542,12 +546,12 @@ def outcomes_by_status(t):
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT s_suppkey FROM supplier)")
 def subset_semi(t):
-    return t.customer.join(t.supplier.select(F.col("s_suppkey").alias("c_custkey")), "c_custkey", "left_semi").select("c_custkey", "c_name")
+    return collection.wanted(t.customer, t.supplier.select(F.col("s_suppkey").alias("c_custkey")), "c_custkey")[0].select("c_custkey", "c_name")
 
 
 @query("SELECT o_orderkey AS wanted FROM orders WHERE o_orderkey NOT IN (SELECT c_custkey FROM customer)")
 def subset_unknown_anti(t):
-    return t.orders.select(F.col("o_orderkey").alias("wanted")).join(t.customer.select(F.col("c_custkey").alias("wanted")), "wanted", "left_anti")
+    return collection.wanted(t.customer.select(F.col("c_custkey").alias("wanted")), t.orders.select(F.col("o_orderkey").alias("wanted")), "wanted")[1]
 
 
 @query("SELECT user_id AS dataset, max(event_id) AS position, arg_max(event_type, event_id) AS status, arg_max(round(value, 6), event_id) AS seconds FROM events GROUP BY user_id")
@@ -579,10 +583,10 @@ def episode_chunking(t):
 
 @query("WITH files AS (SELECT l_orderkey AS episode, l_linenumber % 3 AS chunk, min(l_partkey) AS path FROM lineitem GROUP BY ALL) SELECT o_orderkey AS episode, coalesce(min(CASE WHEN chunk = o_orderkey % 3 THEN path END), min(path)) AS path FROM orders LEFT JOIN files ON o_orderkey = episode GROUP BY o_orderkey")
 def resolve_chunk_fallback(t):
-    files = t.lineitem.groupBy(F.col("l_orderkey").alias("episode"), (F.col("l_linenumber") % 3).alias("chunk")).agg(F.min("l_partkey").alias("path"))
-    wanted = t.orders.select(F.col("o_orderkey").alias("episode")).distinct()
-    exact = F.min(F.when(F.col("chunk") == F.col("episode") % 3, F.col("path")))
-    return wanted.join(files, "episode", "left").groupBy("episode").agg(F.coalesce(exact, F.min("path")).alias("path"))
+    one = (F.lit("x").alias("name"), F.lit("data").alias("kind"))
+    files = t.lineitem.groupBy(F.col("l_orderkey").alias("episode"), (F.col("l_linenumber") % 3).alias("chunk")).agg(F.min("l_partkey").alias("path")).select(*one, "episode", "chunk", "path")
+    wanted = t.orders.select(*one, F.col("o_orderkey").alias("episode"), (F.col("o_orderkey") % 3).alias("chunk")).distinct()
+    return collection.resolved(wanted, files).select("episode", "path")
 
 
 @query("SELECT event_id FROM events WHERE event_type IN (SELECT event_type FROM events WHERE event_id % 100 = 0)")
@@ -608,6 +612,48 @@ def escape_truncate(t):
     return t.documents.select("doc_id", report.cell(F.col("text")).alias("cell"))
 
 
+@query("SELECT doc_id AS dataset, CASE WHEN doc_id % 2 = 0 THEN 'converted' ELSE 'failed' END AS status FROM documents")
+def manifest_append(t):
+    """Two runs append to one log, of which the last line of each dataset holds."""
+    path = f"{t.spark.conf.get('spark.sql.warehouse.dir')}/tracewright-manifest-{uuid.uuid4().hex}"
+    atexit.register(sinks.drop_tree, path)
+    log = t.documents.select(F.col("doc_id").alias("dataset"))
+    collection.append_manifest(log.withColumn("status", F.lit("failed")), path)
+    collection.append_manifest(log.filter("dataset % 2 = 0").withColumn("status", F.lit("converted")), path)
+    lines = t.spark.read.schema("dataset bigint, status string, position struct<batch:bigint,row:bigint>").json(path)
+    return reconcile.last_wins(lines, ["dataset"], "position").select("dataset", "status")
+
+
+@query("SELECT user_id AS episode, bool_or(event_id % 97 = 0) AS nonfinite FROM events GROUP BY user_id")
+def nonfinite_state(t):
+    """Actions are finite; NaN stands in the state alone."""
+    state = F.array(F.lit(0.0), F.when(F.col("event_id") % 97 == 0, F.lit(float("nan"))).otherwise(F.col("value")))
+    rows = t.events.select(F.col("user_id").alias("episode"), "ts", F.array("value").alias("action"), state.alias("state"))
+    return episodes.trajectories(rows, ["episode"], "ts", T, also=("state",)).select("episode", (~F.col("finite")).alias("nonfinite"))
+
+
+@query("SELECT event_type, round(stddev_pop(value), 4) AS std, count(value) AS count FROM events GROUP BY event_type")
+def parallel_variance_large_mean(t):
+    """Values far from zero keep their spread."""
+    rows = t.events.select(F.col("user_id").alias("episode"), "event_type", (F.col("value") + 1e9).alias("value"))
+    found = stats.combined(stats.moments(rows, ["episode", "event_type"], "value"), ["event_type"])
+    return found.select("event_type", F.round("std", 4).alias("std"), "count")
+
+
+@query("SELECT user_id AS dataset, '`total_frames` ' || user_id || ' → ' || count(*) || CASE WHEN user_id % 2 = 0 THEN '; repaired 2 declared episode length(s)' ELSE '' END AS notes FROM events GROUP BY user_id")
+def manifest_notes(t):
+    n = t.events.groupBy(F.col("user_id").alias("dataset")).agg(F.count(F.lit(1)).cast("string").alias("n"))
+    change = F.struct(F.col("dataset").cast("string").alias("from"), F.col("n").alias("to"))
+    fixes = F.struct(F.create_map(F.lit("total_frames"), change).alias("aggregates"), F.array().cast("array<bigint>").alias("dropped_corrupt_episodes"), F.when(F.col("dataset") % 2 == 0, 2).otherwise(0).cast("long").alias("repaired_episode_lengths"))
+    log = n.select("dataset", F.lit("converted").alias("status"), fixes.alias("corrections"), F.lit(None).cast("array<string>").alias("dropped_features"), F.lit(None).cast("string").alias("note"))
+    return report.manifest_notes(log)
+
+
+@query("SELECT o_orderkey AS episode, printf('%.1f GB', o_orderkey * 12345678 / 1e9::DOUBLE) AS size, format('{:,}', o_orderkey * 12345) AS frames FROM orders")
+def card_numbers(t):
+    return t.orders.select(F.col("o_orderkey").alias("episode"), report.gigabytes(F.col("o_orderkey") * 12345678).alias("size"), report.grouped_number(F.col("o_orderkey") * 12345).alias("frames"))
+
+
 @query(f"WITH {DATASETS}, s AS (SELECT count(*) AS datasets, {SUMS} FROM datasets), c AS (SELECT count(*) AS datasets, {SUMS} FROM datasets WHERE version = 'v3.0') SELECT s.datasets AS source_datasets, c.datasets AS target_datasets, s.frames AS source_frames, c.frames AS target_frames, s.size_bytes > 1.2 * c.size_bytes AS shrank FROM s, c")
 def card_statistics(t):
     d = datasets(t)

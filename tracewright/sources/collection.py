@@ -71,8 +71,13 @@ def files(spark: SparkSession, root: str) -> DataFrame:
     return read.withColumn("name", F.regexp_extract("path", "([^/]+/[^/]+)/(?:meta|data|videos)/", 1)).filter("name <> ''")
 
 
+def total_sizes(rows: DataFrame) -> DataFrame:
+    """rows (name, length), a file each: name and size_bytes."""
+    return rows.groupBy("name").agg(F.sum("length").alias("size_bytes"))
+
+
 def sizes(spark: SparkSession, root: str) -> DataFrame:
-    return files(spark, root).groupBy("name").agg(F.sum("length").alias("size_bytes"))
+    return total_sizes(files(spark, root))
 
 
 def discover(spark: SparkSession, roots: list[str]) -> DataFrame:
@@ -169,14 +174,18 @@ def episode_files(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("name", "kind", F.regexp_extract(path, "/chunk-([0-9]+)/", 1).cast("long").alias("chunk"), F.regexp_extract(path, "episode_([0-9]+)[.]", 1).cast("long").alias("episode"), "path")
 
 
-def subset(rows: DataFrame, wanted: list[str] | None) -> tuple[DataFrame, list[str]]:
-    """The rows of the wanted names (None: all, empty: none), and the names that don't exist."""
-    if wanted is None:
+def wanted(rows: DataFrame, names: DataFrame, key: str = "name") -> tuple[DataFrame, DataFrame]:
+    """The rows whose key is among ``names``, and the names that no row has."""
+    return rows.join(names.select(key), key, "left_semi"), names.select(key).join(rows.select(key), key, "left_anti")
+
+
+def subset(rows: DataFrame, chosen: list[str] | None) -> tuple[DataFrame, list[str]]:
+    """The rows of the chosen names (None: all, empty: none), and the names that don't exist."""
+    if chosen is None:
         return rows, []
-    spark = rows.sparkSession
-    names = spark.createDataFrame([(n,) for n in sorted(set(wanted))], "name string")
-    unknown = [r["name"] for r in names.join(rows.select("name"), "name", "left_anti").collect()]  # of names that the caller gave
-    return rows.join(F.broadcast(names), "name", "left_semi"), unknown
+    names = rows.sparkSession.createDataFrame([(n,) for n in sorted(set(chosen))], "name string")
+    found, unknown = wanted(rows, names)
+    return found, [r["name"] for r in unknown.collect()]  # of names that the caller gave
 
 
 def write_frames(rows: DataFrame, path: str) -> None:
