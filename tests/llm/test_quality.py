@@ -55,3 +55,53 @@ def test_repeated_ids_leave_room_in_the_pool(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
     quality.train(docs, spark.createDataFrame([(100, 1), (0, 0)], "doc_id long, quality int"))
     assert taken == [15]
+
+
+def test_metadata_view_does_not_read_the_text(spark):
+    docs = spark.createDataFrame([(1, "some text", "s", "en", 9), (2, "QUITE another\n\n1234", "s", "en", 9), (3, "some text", "s", None, None)], "doc_id long, text string, source string, lang string, n_chars long")
+    rows = {r["doc_id"]: np.frombuffer(r["view"], np.float16) for r in quality.viewed(docs).collect()}
+    assert (rows[1][quality.TEXT :] == rows[2][quality.TEXT :]).all() and (rows[1][: quality.TEXT] != rows[2][: quality.TEXT]).any()
+    assert (rows[1][: quality.TEXT] == rows[3][: quality.TEXT]).all() and (rows[1][quality.TEXT :] != rows[3][quality.TEXT :]).any()
+
+
+def test_exchange_over_the_whole_table_against_brute_force(spark):
+    """Histograms, turning points and gradients over several partitions equal those over all rows at once, and pseudo-labels help."""
+    rng = np.random.default_rng(4)
+    n = 6000
+    y = rng.integers(0, 2, n)
+    x = rng.normal(size=(n, quality.TEXT + quality.META)) * 0.5 + y[:, None] * np.where(np.arange(quality.TEXT + quality.META) % 40 == 0, 0.6, 0.0)
+    x = x.astype(np.float16)
+    rows = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(x)], "doc_id long, view binary").repartition(7)
+    both = [x[:, : quality.TEXT].astype(np.float32), x[:, quality.TEXT :].astype(np.float32)]
+    fold = quality.fold_of(list(range(n)))
+    model = quality.CoTrained().fit([v[:200] for v in both], y[:200], fold[:200], [v[:0] for v in both])
+    before = [(m.w.copy(), m.b) for m in model.models]
+    inside = (fold != quality.CALIBRATE) & (fold != quality.HELD_OUT)
+    counts = np.zeros((2, quality.BINS), int)
+    for r in rows.mapInArrow(quality.histograms(model), "view int, bin int, n long").collect():
+        counts[r["view"], r["bin"]] += r["n"]
+    edges = []
+    for v in (0, 1):
+        odds = model.models[v].odds(both[v][inside])
+        assert (counts[v] == np.bincount(quality.bin_of(odds), minlength=quality.BINS)).all()
+        low, high = quality.beyond(counts[v], 0.5, 0.1)
+        place = quality.bin_of(odds)
+        assert (place <= low).sum() <= 0.05 * inside.sum() < (place <= low + 1).sum() and (place >= high).sum() <= 0.05 * inside.sum() < (place >= high - 1).sum()
+        edges.append((low, high))
+    sums = [np.zeros(quality.TEXT + 2), np.zeros(quality.META + 2)]
+    for r in rows.mapInArrow(quality.gradients(model, edges), "view int, dim int, value double").collect():
+        sums[r["view"]][r["dim"] + 1] += r["value"]
+    for v in (0, 1):
+        want, taught = np.zeros(len(sums[v]) - 1), 0
+        for i in np.flatnonzero(inside):
+            place = quality.bin_of(model.models[1 - v].odds(both[1 - v][i : i + 1]))[0]
+            if place <= edges[1 - v][0] or place >= edges[1 - v][1]:
+                m = model.models[v]
+                z = (both[v][i] - m.mean) / m.scale
+                want += np.append(z, 1.0) * (1 / (1 + np.exp(-(z @ m.w + m.b))) - (place >= edges[1 - v][1]))
+                taught += 1
+        assert sums[v][0] == taught > 0 and sums[v][1:] == pytest.approx(want, rel=1e-3, abs=1e-2)
+    accuracy = lambda: ((model.odds(*[v[fold == quality.HELD_OUT] for v in both])[2] > 0) == y[fold == quality.HELD_OUT]).mean()
+    start = accuracy()
+    quality.exchange(model, rows, [v[:200] for v in both], y[:200], fold[:200])
+    assert accuracy() >= start and any((m.w != w).any() for m, (w, _) in zip(model.models, before, strict=True))
