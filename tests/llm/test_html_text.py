@@ -106,3 +106,24 @@ def test_query(spark, sf_dir):
 
         blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", inner)]
         assert r["text"] == "\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
+
+
+def test_site_lines_inside_articles_go_whatever_the_partitions(spark):
+    """Lines that all pages of a large host repeat inside their article elements go; passages that some articles share stay."""
+    passage = "<p>A passage that two of the articles share, long enough to be worth keeping in both of them</p>"
+    body = lambda i: f"<article><p>Share this story with friends</p><h1>Story {i * 7919}</h1><p>It is told here at some length, with {i * 31} details of its own</p>{passage if i in (3, 4) else ''}<p>Read on at our site</p></article>"
+    rows = [page(i, body(i)) for i in range(20)] + [page(50 + i, body(100 + i), "small.example") for i in range(5)] + [page(80 + i, body(7), "copies.example") for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for ranges in (1, 8, 61):
+            spark.conf.set("spark.sql.shuffle.partitions", ranges)
+            got = {r["page_id"]: r["text"].split("\n") for r in html_text.extract(df).collect()}
+            for i in range(20):
+                assert got[i][0] == f"Story {i * 7919}" and len(got[i]) == (3 if i in (3, 4) else 2), (ranges, i, got[i])
+            # Too few pages, or copies of one page only: all stays.
+            assert all(len(got[i]) == 4 for i in (*range(50, 55), *range(80, 89)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])

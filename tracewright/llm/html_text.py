@@ -1,11 +1,13 @@
-"""Main text of web pages: structure first, nearest-URL page differencing where structure is silent.
+"""Main text of web pages: structure, and nearest-URL page differencing of every page.
 
 Markup is read once, tag by tag. Elements that never hold an article (menus, footers, side
 bars, forms, scripts, styles ...), and those whose class, id or role says so, are dropped.
-If what remains has an article or main element, its blocks are the text.
+If what remains has an article or main element, its blocks are the text, but for those that
+differencing finds to be the site's: lines that the page shares with a neighbour and that
+nearly all runs of pages of the host have, if these are ``SITE_RUNS`` or more.
 
-Other pages don't say where their text lies. Their lines are compared with those of the
-nearest pages that are not copies: of pages with the same lines on a host one is taken, and
+Other pages don't say where their text lies, and differencing alone decides. Lines are
+compared with those of the nearest pages that are not copies: of pages with the same lines on a host one is taken, and
 these are ordered by host and URL path. Neighbours that share most of each other's text are
 a run of copies; the nearest page beyond the run on either side, on the same host, is
 aligned with the page by longest common subsequence, and shared lines are deleted. Should
@@ -13,9 +15,9 @@ it share most of the page's text all the same, the next run is tried, and so on
 ``REACH`` runs. What is shared is counted without the lines that nearly all runs of the host
 have, so short articles in a large frame are no copies. Where all pages of a host share most
 of their text, lines that nearly all have are taken for a frame, if there are three pages;
-an article that stands on all of them goes then as well. Lines inside an article
-element are never deleted, since copies of an article stand on many hosts and whole
-articles are wanted.
+an article that stands on all of them goes then as well. Inside an article element lines go
+only with most of a host's runs behind them, since articles, and passages of them, are
+copied between pages and whole articles are wanted.
 
 Pages are ordered by a range exchange that carries line hashes, not pages, so a host may
 hold any share of them. Each task gets the outermost runs of all ranges, so where a range
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm._shared import by_value, store, table
+from tracewright.llm._shared import by_value, frugal, sliced, store, table
 
 #: Names of HTML elements.
 RAW = frozenset("script style textarea title xmp noscript template iframe noembed noframes".split())
@@ -59,6 +61,8 @@ MARKS = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([
 COPY = 0.8
 #: Lines in this part of a host's runs of copies are its frame; in a host of one run, of its pages, if these are several.
 FRAME, SEVERAL = 0.9, 3
+#: Runs that a host must have for lines inside an article to count as the site's.
+SITE_RUNS = 8
 #: Runs of copies that the search for a page that is not one goes through on each side.
 REACH = 8
 #: Cells of an alignment that are kept at once; larger ones are halved first.
@@ -147,8 +151,8 @@ class Page:
                 words.append(value)
         return " ".join(words)
 
-    def main(self) -> list[str] | None:
-        """The blocks of the article with the most text; None if no element is one."""
+    def main_places(self) -> list[int] | None:
+        """Places of the blocks of the article with the most text; None if no element is one."""
         size: dict[int, int] = {}
         for text, number in self.blocks:
             size[number] = size.get(number, 0) + len(text)
@@ -156,7 +160,11 @@ class Page:
         if not size:
             return None
         best = max(size, key=lambda k: (size[k], -k))
-        return [text for text, number in self.blocks if number == best]
+        return [i for i, (_, number) in enumerate(self.blocks) if number == best]
+
+    def main(self) -> list[str] | None:
+        places = self.main_places()
+        return None if places is None else [self.blocks[i][0] for i in places]
 
 
 def lcs_lengths(a: list[int], b: list[int]) -> list[int]:
@@ -221,23 +229,23 @@ def address(url: str | None) -> tuple[str, str]:
     return parts.netloc.lower(), parts.path
 
 
-READ = "page_id long, url string, host string, path string, settled boolean, lines array<string>, digest string, hashes array<long>, sizes array<int>"
+READ = "page_id long, url string, host string, path string, settled boolean, lines array<string>, places array<int>, digest string, hashes array<long>, sizes array<int>"
 EDGE = "part long, run long, host string, digest string, hashes array<long>, sizes array<int>, frame array<long>"
-GONE = "host string, digest string, gone array<boolean>"
+GONE = "host string, digest string, gone array<boolean>, site array<boolean>"
 
 
 def read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("settled", pa.bool_()), ("lines", pa.list_(pa.string()))]
+    kinds = [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("settled", pa.bool_()), ("lines", pa.list_(pa.string())), ("places", pa.list_(pa.int32()))]
     kinds += [("digest", pa.string()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))]
-    for batch in batches:
+    for batch in sliced(batches, 2):
         out = []
         for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             page = Page(html or "")
-            main = page.main()
+            places = page.main_places()
             host, path = address(url)
             texts = [t for t, _ in page.blocks]
             hashes = np.array([line_hash(t) for t in texts], dtype=np.int64)
-            row = {"page_id": page_id, "url": url, "host": host, "path": path, "settled": main is not None, "lines": main if main is not None else texts}
+            row = {"page_id": page_id, "url": url, "host": host, "path": path, "settled": places is not None, "lines": texts if places is None else [texts[i] for i in places], "places": range(len(texts)) if places is None else places}
             out.append(row | {"digest": sha256(hashes.tobytes()).hexdigest(), "hashes": hashes, "sizes": [len(t) for t in texts]})
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema(kinds))
 
@@ -251,6 +259,7 @@ class Lines:
         self.hashes = np.array(row["hashes"], dtype=np.int64)
         sizes = np.array(row["sizes"], dtype=np.int64)
         own = ~np.isin(self.hashes, np.array(row.get("frame") or [], dtype=np.int64))
+        self.framed = ~own
         self.rest, self.sizes = self.hashes[own], sizes[own]
         self.total = int(self.sizes.sum())
 
@@ -322,7 +331,7 @@ def differ(around: dict[int, list[list[Lines]]]):
         return runs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("host", pa.string()), ("digest", pa.string()), ("gone", pa.list_(pa.bool_()))])
+        schema = pa.schema([("host", pa.string()), ("digest", pa.string()), ("gone", pa.list_(pa.bool_())), ("site", pa.list_(pa.bool_()))])
         for part, pages in parts(batches):
             own = {id(p) for p in pages}
             runs = joined(joined(beside(part, -1, pages[0].host), runs_of(pages)), beside(part, 1, pages[-1].host))
@@ -330,20 +339,21 @@ def differ(around: dict[int, list[list[Lines]]]):
             for i, members in enumerate(runs):
                 before, after = [r[-1] for r in runs[max(i - REACH, 0) : i][::-1]], [r[0] for r in runs[i + 1 : i + 1 + REACH]]
                 for page in members:
-                    if id(page) not in own or not page.row["open"]:
+                    if id(page) not in own:
                         continue
                     gone = np.zeros(len(page.hashes), dtype=bool)
                     for side in (before, after):
                         other = next((x for x in side if x.host != page.host or not page.copied_by(x)), None)
                         if other and other.host == page.host:
                             gone |= np.array(shared(page.hashes.tolist(), other.hashes.tolist()), dtype=bool)
-                    out.append({"host": page.host, "digest": page.digest, "gone": gone.tolist()})
+                    site = gone & page.framed if page.row["several"] else np.zeros(len(gone), dtype=bool)
+                    out.append({"host": page.host, "digest": page.digest, "gone": gone.tolist(), "site": site.tolist()})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return run
 
 
-DEALT = "host string, path string, page_id long, digest string, hashes array<long>, sizes array<int>, open boolean, part long"
+DEALT = "host string, path string, page_id long, digest string, hashes array<long>, sizes array<int>, part long"
 
 
 def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,10 +361,10 @@ def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, pages in parts(batches):
         out, last = [], len(pages) - 1
         for number, members in enumerate(runs_of(pages)):
-            out += [{**{k: v for k, v in m.row.items() if k != "frame"}, "run": number, "edge": False} for m in members]
+            out += [{**{k: v for k, v in m.row.items() if k not in ("frame", "several")}, "run": number, "edge": False} for m in members]
         out[0]["edge"] = out[last]["edge"] = True
         kinds = [("host", pa.string()), ("path", pa.string()), ("page_id", pa.int64()), ("digest", pa.string()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([*kinds, ("open", pa.bool_()), ("part", pa.int64()), ("run", pa.int64()), ("edge", pa.bool_())]))
+        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([*kinds, ("part", pa.int64()), ("run", pa.int64()), ("edge", pa.bool_())]))
 
 
 def framed(pages: DataFrame) -> DataFrame:
@@ -381,20 +391,18 @@ def framed(pages: DataFrame) -> DataFrame:
     units = placed.join(counted, "host").withColumn("unit", F.when(F.col("alone"), F.col("digest")).otherwise(F.col("unit")))
     lines = units.select("host", "all", "unit", F.explode("hashes").alias("hash")).distinct().groupBy("host", "all", "hash").agg(F.count(F.lit(1)).alias("n"))
     frames = lines.filter(F.col("n") >= F.lit(FRAME) * F.col("all")).groupBy("host").agg(F.collect_list("hash").alias("frame"))
-    return placed.drop("run", "edge", "name", "unit").join(frames, "host", "left")
+    several = counted.select("host", (~F.col("alone") & (F.col("all") >= SITE_RUNS)).alias("several"))
+    out = placed.drop("run", "edge", "name", "unit").join(frames, "host", "left").join(several, "host", "left")
+    return out.withColumn("several", F.coalesce("several", F.lit(False)))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every row of ``pages`` (page_id, url, html)."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    read = store(rows.mapInArrow(read_pages, READ), "html-pages")
-    settled = read.filter("settled").select("page_id", "url", F.array_join("lines", "\n").alias("text"))
-    silent = read.filter("NOT settled")
-    if silent.isEmpty():
-        return settled
+    read = store(rows.mapInArrow(frugal(read_pages), READ), "html-pages")
     first = F.min(F.struct("path", "page_id")).alias("first")
-    unlike = read.groupBy("host", "digest").agg(first, F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes"), F.max(~F.col("settled")).alias("open"))
-    unlike = store(unlike, "html-unlike").select("host", "first.path", "first.page_id", "digest", "hashes", "sizes", "open")
+    unlike = read.groupBy("host", "digest").agg(first, F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes"))
+    unlike = store(unlike, "html-unlike").select("host", "first.path", "first.page_id", "digest", "hashes", "sizes")
     order = ("host", "path", "page_id", "digest")
     dealt = store(unlike.repartitionByRange(*order).withColumn("part", F.spark_partition_id().cast("long")), "html-dealt")
     in_order = lambda df: df.repartition("part").sortWithinPartitions("part", *order)
@@ -403,9 +411,13 @@ def extract(pages: DataFrame) -> DataFrame:
     for row in sorted(ordered.mapInArrow(edges, EDGE).toArrow().to_pylist(), key=lambda r: (r["part"], r["run"])):
         around.setdefault(row["part"], {}).setdefault(row["run"], []).append(Lines(row))
     gone = store(ordered.mapInArrow(differ({k: list(v.values()) for k, v in around.items()}), GONE), "html-gone")
-    left = F.filter("lines", lambda t, i: ~F.element_at("gone", i + 1))
-    text = silent.join(gone, ["host", "digest"]).select("page_id", "url", F.array_join(left, "\n").alias("text"))
-    return settled.union(text)
+    # Few hosts repeat lines inside their articles, so what settled pages are joined with is small, and their texts stay where they are.
+    site = store(gone.filter(F.exists("site", lambda x: x)).select("host", "digest", "site"), "html-site")
+    ours = lambda i: F.coalesce(F.element_at("site", F.element_at("places", i + 1) + 1), F.lit(False))
+    kept = lambda drop: F.array_join(F.filter("lines", lambda t, i: ~drop(i)), "\n").alias("text")
+    settled = read.filter("settled").join(site, ["host", "digest"], "left").select("page_id", "url", kept(ours))
+    silent = read.filter("NOT settled").join(gone.select("host", "digest", "gone"), ["host", "digest"])
+    return settled.union(silent.select("page_id", "url", kept(lambda i: F.element_at("gone", i + 1))))
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
