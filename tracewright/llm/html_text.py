@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm._shared import by_value, frugal, sliced, store, table
+from tracewright.llm._shared import by_value, discard, frugal, mark, sliced, store, table
 
 #: Names of HTML elements.
 RAW = frozenset("script style textarea title xmp noscript template iframe noembed noframes".split())
@@ -400,17 +400,21 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every row of ``pages`` (page_id, url, html)."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     read = store(rows.mapInArrow(frugal(read_pages), READ), "html-pages")
+    after = mark()  # of the tables from here on, each is deleted once the next is stored
     first = F.min(F.struct("path", "page_id")).alias("first")
     unlike = read.groupBy("host", "digest").agg(first, F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes"))
     unlike = store(unlike, "html-unlike").select("host", "first.path", "first.page_id", "digest", "hashes", "sizes")
     order = ("host", "path", "page_id", "digest")
     dealt = store(unlike.repartitionByRange(*order).withColumn("part", F.spark_partition_id().cast("long")), "html-dealt")
+    discard(after, 1)
     in_order = lambda df: df.repartition("part").sortWithinPartitions("part", *order)
     ordered = in_order(store(framed(in_order(dealt)), "html-framed"))
+    discard(after, 1)
     around: dict[int, dict[int, list[Lines]]] = {}
     for row in sorted(ordered.mapInArrow(edges, EDGE).toArrow().to_pylist(), key=lambda r: (r["part"], r["run"])):
         around.setdefault(row["part"], {}).setdefault(row["run"], []).append(Lines(row))
     gone = store(ordered.mapInArrow(differ({k: list(v.values()) for k, v in around.items()}), GONE), "html-gone")
+    discard(after, 1)
     # Few hosts repeat lines inside their articles, so what settled pages are joined with is small, and their texts stay where they are.
     site = store(gone.filter(F.exists("site", lambda x: x)).select("host", "digest", "site"), "html-site")
     ours = lambda i: F.coalesce(F.element_at("site", F.element_at("places", i + 1) + 1), F.lit(False))
