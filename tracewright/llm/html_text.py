@@ -246,7 +246,7 @@ def read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts = [t for t, _ in page.blocks]
             hashes = np.array([line_hash(t) for t in texts], dtype=np.int64)
             row = {"page_id": page_id, "url": url, "host": host, "path": path, "settled": places is not None, "lines": texts if places is None else [texts[i] for i in places], "places": range(len(texts)) if places is None else places}
-            out.append(row | {"digest": sha256(hashes.tobytes()).hexdigest(), "hashes": hashes, "sizes": [len(t) for t in texts]})
+            out.append(row | {"digest": sha256(hashes.tobytes()).hexdigest()[:32], "hashes": hashes, "sizes": [len(t) for t in texts]})
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema(kinds))
 
 
