@@ -133,3 +133,15 @@ def test_members_of_a_band_meet_each_other(spark, monkeypatch, side):
     got = {r[0]: r[1] for r in simhash.similar(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert got == similar_classes(texts)
     assert len(set(got.values())) > 12
+
+
+@pytest.mark.parametrize("bits", [0, 20])
+def test_wanted_texts_are_told_by_bits_and_joined_exactly(spark, monkeypatch, bits):
+    """With 64 bits in all nearly every row passes them; the join alone decides then."""
+    monkeypatch.setattr(simhash, "WORD_BITS", bits)
+    rows = [(i, None if i % 7 == 0 else f"text {i}", 1, 2, 3) for i in range(-200, 400)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id int, _word int, _bits int")
+    ids = [*range(-90, 130, 3), (1 << 62)]
+    got = sorted(tuple(r) for r in simhash.texts_of(docs, spark.createDataFrame([(i,) for i in ids], "id long")).collect())
+    assert got == [(i, None if i % 7 == 0 else f"text {i}") for i in ids[:-1]]
+    assert simhash.texts_of(docs, spark.createDataFrame([], "id long")).count() == 0

@@ -250,6 +250,8 @@ BANDS, PER_BAND = 16, 4
 SIMILAR_WIDTH, SIMILARITY = 5, 0.8
 #: Members of a list that are compared with as many others at once, and shingles that they have together.
 SIDE, SHINGLES = 1024, 1 << 20
+#: Words of the bits that tell which texts are wanted, as a power of two: 2**20 rows of 16 bytes are broadcast at most.
+WORD_BITS = 20
 
 
 def least_equal(similarity: float) -> int:
@@ -299,6 +301,22 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(frugal(run), "id long, shingles array<long>")
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id and text of the rows of ``docs`` (doc_id, text) whose doc_id is one of ``wanted`` (id, distinct), a row an id.
+
+    Few texts are wanted as a rule, and moving all of them to the join would cost more than
+    all else. So each wanted id sets one of 64 << WORD_BITS bits first; their words, 2 **
+    WORD_BITS rows at most whatever the input, go to all tasks, and only rows whose bit is
+    set take part in the exact join. Many ids fill the bits and let more rows through.
+    """
+    word = lambda id_: F.shiftright(F.xxhash64(id_), 6).bitwiseAND(F.lit((1 << WORD_BITS) - 1))
+    bit = lambda id_: F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(id_).bitwiseAND(F.lit(63)).cast("int"))
+    bits = wanted.groupBy(word("id").alias("_word")).agg(F.bit_or(bit("id")).alias("_bits"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    likely = rows.join(F.broadcast(bits), word("id") == F.col("_word")).filter(F.col("_bits").bitwiseAND(bit("id")) != 0)
+    return likely.select("id", "text").join(wanted, "id").dropDuplicates(["id"])
+
+
 def equal_bytes(s: str, t: str) -> Column:
     """Number of places at which two sketches have the same byte."""
     places = F.sequence(F.lit(1), F.lit(BANDS * PER_BAND))
@@ -308,8 +326,7 @@ def equal_bytes(s: str, t: str) -> Column:
 def verified(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose texts share ``similarity`` of their shingles, held against the whole sets."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id").dropDuplicates(["id"])
-    sets = store(shingle_sets(whole, width), "similar-sets")
+    sets = store(shingle_sets(texts_of(docs, wanted), width), "similar-sets")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     linked = both.select("a", "b", common.alias("n"), (F.size("x") + F.size("y")).alias("m")).filter(F.col("n") >= F.lit(similarity) * (F.col("m") - F.col("n"))).select("a", "b")
@@ -434,8 +451,7 @@ def across(texts: DataFrame, docs: DataFrame, width: int, similarity: float) ->
     together = lambda df: df.repartition(*GROUP).sortWithinPartitions(*GROUP)
     kinds = "key long, i long, j long, role long, id long, comp long, inner boolean, n long"
     marked = store(together(dealt).mapInArrow(frugal(alike(similarity)), kinds), "similar-marked")
-    whole = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(marked.select("id").distinct(), "id").dropDuplicates(["id"])
-    sets = store(shingle_sets(whole, width), "similar-sets")
+    sets = store(shingle_sets(texts_of(docs, marked.select("id").distinct()), width), "similar-sets")
     return store(together(marked.join(sets, "id")).mapInArrow(frugal(linked_in_groups(similarity)), "a long, b long").distinct(), "similar-joined")
 
 
