@@ -145,3 +145,12 @@ def test_wanted_texts_are_told_by_bits_and_joined_exactly(spark, monkeypatch, bi
     got = sorted(tuple(r) for r in simhash.texts_of(docs, spark.createDataFrame([(i,) for i in ids], "id long")).collect())
     assert got == [(i, None if i % 7 == 0 else f"text {i}") for i in ids[:-1]]
     assert simhash.texts_of(docs, spark.createDataFrame([], "id long")).count() == 0
+
+
+def test_wanted_bits_are_packed(spark):
+    """What all tasks and the driver hold is a few rows, however many texts are wanted."""
+    wanted = spark.range(0, 60_000, 1, 4).select("id")
+    packs = simhash.wanted_bits(wanted).collect()
+    assert len(packs) == 1 << simhash.WORD_BITS - simhash.PACK_BITS and {len(p["_words"]) for p in packs} == {1 << simhash.PACK_BITS}
+    places = wanted.selectExpr("xxhash64(id) & ((1L << 26) - 1) AS place").collect()
+    assert sum((w & (1 << 64) - 1).bit_count() for p in packs for w in p["_words"]) == len({r["place"] for r in places})

@@ -250,8 +250,8 @@ BANDS, PER_BAND = 16, 4
 SIMILAR_WIDTH, SIMILARITY = 5, 0.8
 #: Members of a list that are compared with as many others at once, and shingles that they have together.
 SIDE, SHINGLES = 1024, 1 << 20
-#: Words of the bits that tell which texts are wanted, as a power of two: 2**20 rows of 16 bytes are broadcast at most.
-WORD_BITS = 20
+#: Words of the bits that tell which texts are wanted, and of them in one row, as powers of two: 2**10 rows of 8 kB are broadcast at most.
+WORD_BITS, PACK_BITS = 20, 10
 
 
 def least_equal(similarity: float) -> int:
@@ -301,19 +301,41 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(frugal(run), "id long, shingles array<long>")
 
 
+def bit_word(id_: str) -> Column:
+    """The word that holds an id's bit."""
+    return F.shiftright(F.xxhash64(id_), 6).bitwiseAND(F.lit((1 << WORD_BITS) - 1))
+
+
+def bit_of(id_: str) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(id_).bitwiseAND(F.lit(63)).cast("int"))
+
+
+def packed(rows: pa.Table) -> pa.Table:
+    """(_pack, place, bits) of one pack: a row with all its words, 0 where there is none."""
+    words = np.zeros(1 << PACK_BITS, dtype=np.int64)
+    words[rows.column("place").to_numpy()] = rows.column("bits").to_numpy()
+    return pa.table({"_pack": rows.column("_pack").slice(0, 1), "_words": pa.array([words], pa.list_(pa.int64()))})
+
+
+def wanted_bits(wanted: DataFrame) -> DataFrame:
+    """The bits that the ids of ``wanted`` set: _pack and _words, 2 ** PACK_BITS words a row."""
+    words = wanted.groupBy(bit_word("id").alias("word")).agg(F.bit_or(bit_of("id")).alias("bits"))
+    words = words.select(F.shiftright("word", PACK_BITS).alias("_pack"), F.col("word").bitwiseAND(F.lit((1 << PACK_BITS) - 1)).alias("place"), "bits")
+    return words.groupBy("_pack").applyInArrow(packed, "_pack long, _words array<long>")
+
+
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """id and text of the rows of ``docs`` (doc_id, text) whose doc_id is one of ``wanted`` (id, distinct), a row an id.
 
     Few texts are wanted as a rule, and moving all of them to the join would cost more than
-    all else. So each wanted id sets one of 64 << WORD_BITS bits first; their words, 2 **
-    WORD_BITS rows at most whatever the input, go to all tasks, and only rows whose bit is
-    set take part in the exact join. Many ids fill the bits and let more rows through.
+    all else. So each wanted id sets one of 64 << WORD_BITS bits first; they go to all tasks,
+    2 ** (WORD_BITS - PACK_BITS) rows of packed words at most whatever the input, and only
+    rows whose bit is set take part in the exact join. Many ids fill the bits and let more
+    rows through.
     """
-    word = lambda id_: F.shiftright(F.xxhash64(id_), 6).bitwiseAND(F.lit((1 << WORD_BITS) - 1))
-    bit = lambda id_: F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(id_).bitwiseAND(F.lit(63)).cast("int"))
-    bits = wanted.groupBy(word("id").alias("_word")).agg(F.bit_or(bit("id")).alias("_bits"))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    likely = rows.join(F.broadcast(bits), word("id") == F.col("_word")).filter(F.col("_bits").bitwiseAND(bit("id")) != 0)
+    word = F.element_at("_words", (bit_word("id").bitwiseAND(F.lit((1 << PACK_BITS) - 1)) + 1).cast("int"))
+    likely = rows.join(F.broadcast(wanted_bits(wanted)), F.shiftright(bit_word("id"), PACK_BITS) == F.col("_pack")).filter(word.bitwiseAND(bit_of("id")) != 0)
     return likely.select("id", "text").join(wanted, "id").dropDuplicates(["id"])
 
 
