@@ -74,3 +74,16 @@ def test_head_words_are_found():
     model = lm_score.Model(h[:4000], np.arange(4000, dtype=np.uint32), np.arange(4000, 0, -1), np.ones(lm_score.CLASSES), np.ones(lm_score.CLASSES), 1)
     at, known = model.find(h, np.arange(5000, dtype=np.uint32))
     assert known.tolist() == [True] * 4000 + [False] * 1000 and (model.count[at[:4000]] == np.arange(4000, 0, -1)).all()
+
+
+def test_history_tells_words_of_one_class_apart(spark):
+    rng = np.random.default_rng(2)
+    common = " ".join(f"w{i} w{i}" for i in range(7))  # these are classes of their own
+    halves = ["red walking", "blue talking"]
+    docs = [(i, f"{common} " + " ".join(halves[k] for k in rng.integers(0, 2, 8))) for i in range(4000)]
+    odd = [(9000, "red walking"), (9001, "red talking"), (9002, "blue walking"), (9003, "blue talking")]
+    df = spark.createDataFrame(docs + odd, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["score"] for r in lm_score.score(df).collect()}
+    assert len(set(lm_score.tokens([b"walking talking"], lm_score.Powers())[2].tolist())) == 1
+    # The words' counts cancel.
+    assert got[9000] - got[9001] + got[9003] - got[9002] > 0.2

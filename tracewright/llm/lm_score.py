@@ -1,13 +1,15 @@
 """Language-model scores: a hashed maximum-entropy model with a class-factored softmax.
 
-P(token | history) = P(class | history) * P(token | class). The first factor is a softmax
-whose logits add a class bias and the weights of three hashed features: the previous word,
-the classes of the last two tokens, and, skipping one, the classes of the two before. It is
-trained by distributed gradient updates: a round gives each task the current weights, the
+P(token | history) = P(class | history) * P(part | class, history) * P(cell | part, history)
+* P(token | cell). The first factor is a softmax whose logits add a class bias and the weights
+of three hashed features: the previous word, the classes of the last two tokens, and, skipping
+one, the classes of the two before. The next two split the words of a class into ``PARTS`` parts,
+and a part into as many cells, by bits of their hash; their softmaxes have the first two features,
+each together with the class or part. All three are trained by distributed gradient updates: a round gives each task the current weights, the
 task runs AdaGrad over the training documents of the round's fold, and the tasks' changes,
-weighted by their tokens, are averaged by blocks of rows. The second factor needs no
-training: (c + 1) / (N_class + V_class + 1), so that each class keeps one share for words it
-never saw. Both factors are proper distributions, and so is their product.
+weighted by their tokens, are averaged by blocks of rows. The last factor, among the words of
+one of some 24,000 cells, needs no training: (c + 1) / (N_cell + V_cell + 1), so that each cell
+keeps one share for words it never saw. All factors are proper distributions, and so is their product.
 
 The most frequent words, and the end of a text, are classes of their own. Other words'
 classes follow from their last two bytes, so no table of the vocabulary is needed.
@@ -38,9 +40,15 @@ CLASSES, OWN = 32, 7
 END, START = 0, CLASSES
 FEATURE_ROWS = 1 << 14
 FEATURES = 3
+#: Parts of a class and cells of a part, features that choose among them, and rows of their weights, which follow the first FEATURE_ROWS.
+PARTS, DEEP_FEATURES, DEEP_BITS = 32, 2, 15
+ALL_ROWS = FEATURE_ROWS + (1 << DEEP_BITS)
+#: Lowest bits of a hash that name the part and the cell. Weight of a cell without words beside one with words, before training.
+PART_BIT, CELL_BIT, EMPTY = 5, 10, 1 / 32
 HEAD = 1 << 18
 ROUNDS = 2
-RATE = 0.25
+#: Step of AdaGrad for classes, and for parts and cells, of which each text shows less.
+RATE, DEEP_RATE = 0.25, 0.1
 #: Tokens of one gradient step, bytes tokenised at once, tokens counted at once, rows of weights averaged together.
 STEP, PIECE, COUNTED, ROWS = 8192, 1 << 20, 1 << 22, 512
 SCORED_AT_ONCE = 2048
@@ -153,7 +161,7 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Weights, class tables and the counts of the head words; of fixed size."""
 
-    def __init__(self, head_hash: np.ndarray, head_check: np.ndarray, head_count: np.ndarray, class_tokens: np.ndarray, class_words: np.ndarray, end_count: int) -> None:
+    def __init__(self, head_hash: np.ndarray, head_check: np.ndarray, head_count: np.ndarray, class_tokens: np.ndarray, class_words: np.ndarray, end_count: int, cell_tokens: np.ndarray | None = None, cell_words: np.ndarray | None = None) -> None:
         # head_* come in falling order of count: the first OWN are classes of their own.
         own = np.arange(len(head_hash)) < OWN
         order = np.argsort(head_hash, kind="stable")
@@ -168,7 +176,14 @@ class Model:
         self.bias = np.log(prior / prior.sum()).astype(np.float32)
         self.end_count = end_count
         self.per_token = 0.0
-        self.weights = np.zeros((FEATURE_ROWS, CLASSES), dtype=np.float32)
+        self.weights = np.zeros((ALL_ROWS, CLASSES), dtype=np.float32)
+        none = np.zeros(CLASSES * PARTS * PARTS)
+        cell_tokens, cell_words = none if cell_tokens is None else cell_tokens, none if cell_words is None else cell_words
+        self.cell_total = cell_tokens + cell_words + 1.0
+        share = np.where(cell_words > 0, self.cell_total, EMPTY).reshape(CLASSES * PARTS, PARTS)
+        parts = share.sum(axis=1).reshape(CLASSES, PARTS)
+        #: The bias of each part given its class, and of each cell given its part.
+        self.deep_bias = tuple(np.log(x / x.sum(axis=1, keepdims=True)).astype(np.float32) for x in (parts, share))
 
     def find(self, h: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place among the head words, and whether it is one."""
@@ -185,8 +200,8 @@ class Model:
             left = left[at[left] < end[left]]
         return at, known
 
-    def sequence(self, h: np.ndarray, kind: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of several texts, each with three starts before and an end after it: classes and feature rows of all tokens, and each text's first token."""
+    def sequence(self, h: np.ndarray, kind: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of several texts, each with three starts before and an end after it: classes and feature rows of all tokens, each text's first token, and the hashes of the first features."""
         scored = words + 1
         first = np.cumsum(scored) - scored
         text = np.repeat(np.arange(len(words)), words)
@@ -197,35 +212,52 @@ class Model:
         kinds[np.cumsum(scored) + 3 * np.arange(1, len(words) + 1) - 1] = END
         at = np.arange(scored.sum()) + 3 * np.repeat(np.arange(1, len(words) + 1), scored)
         one, two, three = kinds[at - 1], kinds[at - 2], kinds[at - 3]
-        rows = np.empty((FEATURES, len(at)), dtype=np.int64)
+        rows, keys = np.empty((FEATURES, len(at)), dtype=np.int64), np.empty((DEEP_FEATURES, len(at)), dtype=np.uint64)
         for i, x in enumerate((hashes[at - 1], one << np.uint64(8) | two | np.uint64(1 << 20), two << np.uint64(8) | three | np.uint64(2 << 20))):
-            rows[i] = (mix(x) % np.uint64(FEATURE_ROWS)).astype(np.int64)
-        return kinds[at].astype(np.int64), rows, first
-
-    def odds(self, rows: np.ndarray) -> np.ndarray:
-        """exp(logits); logits are kept under 80, which 32 bits can hold."""
+            x = mix(x)
+            rows[i] = (x % np.uint64(FEATURE_ROWS)).astype(np.int64)
+            if i < DEEP_FEATURES:
+                keys[i] = x
+        return kinds[at].astype(np.int64), rows, first, keys
+
+    def deeper(self, h: np.ndarray, kind: np.ndarray, words: np.ndarray, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For parts, then cells: places of the words that are no class of their own, what each takes, feature rows, the biases, and which of them holds."""
+        which = np.flatnonzero(kind > OWN)
+        at, path, h = which + np.repeat(np.arange(len(words)), words)[which], kind[which], h[which]
+        for level, (bit, bias) in enumerate(zip((PART_BIT, CELL_BIT), self.deep_bias, strict=True)):
+            taken = (h >> np.uint64(bit) & np.uint64(PARTS - 1)).astype(np.int64)
+            salt = mix((path + (level + 1 << 20)).astype(np.uint64))
+            rows = (FEATURE_ROWS + ((keys[:, at] ^ salt) * np.uint64(MULTIPLIER) >> np.uint64(64 - DEEP_BITS))).astype(np.int64)
+            yield which, taken, rows, bias, path
+            path = path * PARTS + taken
+
+    def cells(self, h: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        return (kind * PARTS + (h >> np.uint64(PART_BIT) & np.uint64(PARTS - 1)).astype(np.int64)) * PARTS + (h >> np.uint64(CELL_BIT) & np.uint64(PARTS - 1)).astype(np.int64)
+
+    def odds(self, rows: np.ndarray, bias: np.ndarray | None = None) -> np.ndarray:
+        """exp(logits), with the classes' bias or one for each token; logits are kept under 80, which 32 bits can hold."""
         out = np.take(self.weights, rows[0], axis=0)
         for r in rows[1:]:
             out += np.take(self.weights, r, axis=0)
-        out += self.bias
+        out += self.bias if bias is None else bias
         np.minimum(out, np.float32(80), out=out)
         return np.exp(out, out=out)
 
-    def class_logs(self, kinds: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Natural logarithm of P(class | history) of each token."""
+    def class_logs(self, kinds: np.ndarray, rows: np.ndarray, bias: np.ndarray | None = None, path: np.ndarray | None = None) -> np.ndarray:
+        """Natural logarithm of P(class | history) of each token, or of what it takes next, given ``path``."""
         out, ones = np.empty(len(kinds)), np.ones(CLASSES, dtype=np.float32)
         for s in range(0, len(kinds), SCORED_AT_ONCE):
-            odds = self.odds(rows[:, s : s + SCORED_AT_ONCE])
+            odds = self.odds(rows[:, s : s + SCORED_AT_ONCE], None if bias is None else bias[path[s : s + SCORED_AT_ONCE]])
             k = kinds[s : s + SCORED_AT_ONCE]
             out[s : s + SCORED_AT_ONCE] = np.log(odds[np.arange(len(k)), k]) - np.log(odds @ ones)
         return out
 
-    def learn(self, kinds: np.ndarray, rows: np.ndarray, power: np.ndarray) -> None:
+    def learn(self, kinds: np.ndarray, rows: np.ndarray, power: np.ndarray, bias: np.ndarray | None = None, path: np.ndarray | None = None) -> None:
         """AdaGrad steps; ``power`` holds the sums of squared gradients."""
-        ones = np.ones(CLASSES, dtype=np.float32)
+        ones, rate = np.ones(CLASSES, dtype=np.float32), RATE if bias is None else DEEP_RATE
         for s in range(0, len(kinds), STEP):
             part, k = rows[:, s : s + STEP], kinds[s : s + STEP]
-            g = self.odds(part)
+            g = self.odds(part, None if bias is None else bias[path[s : s + STEP]])
             g /= (g @ ones)[:, None]
             g[np.arange(len(k)), k] -= 1
             for r in part:
@@ -236,7 +268,7 @@ class Model:
                 where = r[first]
                 squares = np.take(power, where, axis=0) + step * step
                 power[where] = squares
-                self.weights[where] -= RATE * step / np.sqrt(squares + 1e-6)
+                self.weights[where] -= np.float32(rate) * step / np.sqrt(squares + 1e-6)
 
 
 def grouped(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int]]:
@@ -273,13 +305,15 @@ def gradient_round(model: Model):
         for batch in batches:
             for s, e in grouped(batch, 0):
                 h, _, kind, _, _, words = read_texts(batch.column(0).slice(s, e - s), model, powers)
-                kinds, rows, _ = model.sequence(h, kind, words)
+                kinds, rows, _, keys = model.sequence(h, kind, words)
                 power = np.zeros_like(before) if power is None else power
                 model.learn(kinds, rows, power)
+                for _, taken, rows, bias, path in model.deeper(h, kind, words, keys):
+                    model.learn(taken, rows, power, bias, path)
                 n += len(kinds)
         if n:
             change = (model.weights - before) * np.float32(n)
-            blocks = range(0, FEATURE_ROWS, ROWS)
+            blocks = range(0, ALL_ROWS, ROWS)
             yield pa.RecordBatch.from_arrays([pa.array([b // ROWS for b in blocks], pa.int32()), pa.array([change[b : b + ROWS].tobytes() for b in blocks], pa.binary()), pa.array([n] * len(blocks), pa.int64())], names=["block", "change", "n"])
         model.weights = before
 
@@ -317,20 +351,21 @@ def score_texts(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         logs = np.log10(model.count + 1.0)
-        per_class = np.log10(model.total)
-        per_class[: OWN + 1] = 0.0
+        per_cell = np.log10(model.cell_total)
         end = math.log10(model.end_count + 1.0)
         for batch in batches:
             for s, e in grouped(batch, 3):
                 part = batch.slice(s, e - s)
                 h, check, kind, at, known, words = read_texts(part.column(3), model, powers)
-                kinds, rows, first = model.sequence(h, kind, words)
+                kinds, rows, first, keys = model.sequence(h, kind, words)
                 text = np.repeat(np.arange(len(words)), words)
                 per_text = lambda x, t=text, n=len(words): np.bincount(t, weights=x, minlength=n)
                 in_head = np.zeros(len(h))
                 in_head[known] = logs[at[known]]
                 base = per_text(in_head - model.per_token) + end - model.per_token  # term by term, as the terms of a long text may be tiny
-                shared = per_text(np.where(kind > OWN, in_head - per_class[kind], 0.0))
+                shared = per_text(np.where(kind > OWN, in_head - per_cell[model.cells(h, kind)], 0.0))
+                for which, taken, deep, bias, path in model.deeper(h, kind, words, keys):
+                    shared = shared + np.bincount(text[which], weights=model.class_logs(taken, deep, bias, path), minlength=len(words)) / math.log(10)
                 known_words = per_text(known.astype(np.float64)).astype(np.int64) + (model.end_count > 0)
                 rare = np.flatnonzero(~known)
                 offsets = np.concatenate(([0], np.cumsum(words - known_words + (model.end_count > 0)))).astype(np.int32)
@@ -354,15 +389,20 @@ def score(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
     ends = training.count()
     top = words.orderBy(F.col("n").desc(), "h", "check").limit(head).select("h", "check", "n").toArrow()
     h, check, n = (top.column(c).to_numpy() for c in ("h", "check", "n"))
-    tokens_in, words_in = np.zeros(CLASSES), np.zeros(CLASSES)
-    for row in words.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():  # CLASSES rows at most
-        tokens_in[row["kind"]], words_in[row["kind"]] = row["n"], row["v"]
+    cell = (F.col("kind") * PARTS + F.shiftrightunsigned("h", PART_BIT).bitwiseAND(F.lit(PARTS - 1))) * PARTS + F.shiftrightunsigned("h", CELL_BIT).bitwiseAND(F.lit(PARTS - 1))
+    cell_tokens, cell_words = np.zeros(CLASSES * PARTS * PARTS), np.zeros(CLASSES * PARTS * PARTS)
+    cells = words.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()  # CLASSES * PARTS * PARTS rows at most
+    places = cells.column("cell").to_numpy()
+    cell_tokens[places], cell_words[places] = cells.column("n").to_numpy(), cells.column("v").to_numpy()
+    tokens_in, words_in = (x.reshape(CLASSES, -1).sum(axis=1) for x in (cell_tokens, cell_words))
     distinct, total = int(words_in.sum()) + (ends > 0), int(tokens_in.sum()) + ends
-    for row in words.orderBy(F.col("n").desc(), "h", "check").limit(OWN).collect():  # these leave their classes
+    for row in words.orderBy(F.col("n").desc(), "h", "check").limit(OWN).withColumn("cell", cell).collect():  # these leave their classes
         tokens_in[row["kind"]] -= row["n"]
         words_in[row["kind"]] -= 1
+        cell_tokens[row["cell"]] -= row["n"]
+        cell_words[row["cell"]] -= 1
     tokens_in[1 : 1 + min(OWN, len(n))] = n[:OWN]
-    model = Model(h.view(np.uint64), check.astype(np.uint32), n, tokens_in, words_in, ends)
+    model = Model(h.view(np.uint64), check.astype(np.uint32), n, tokens_in, words_in, ends, cell_tokens, cell_words)
     model.per_token = math.log10(total + distinct + 1)  # N + 1 * (V + 1)
     train(training, model, rounds)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), (fold == HELD_OUT).alias("held_out"), "text")
