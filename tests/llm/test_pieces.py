@@ -1,7 +1,9 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tracewright.llm import pieces
 
@@ -101,6 +103,31 @@ def test_draws_do_not_depend_on_grouping(monkeypatch):
         assert [x[2] for x in a] == pytest.approx([x[2] for x in b])
 
 
+def test_memory_of_a_task():
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(400)) for _ in range(300)]
+    v = pieces.Vocabulary.load(pieces.MODEL)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts)], names=["row_key", "text"])
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in pieces.sampler(v, 2, 11, False)(iter([batch]))) == 600
+        assert tracemalloc.get_traced_memory()[1] < 72 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_lattices_past_the_bound(monkeypatch):
+    v = pieces.Vocabulary.load(pieces.MODEL)
+    texts = [" ".join(f"w{i}x{j}" for j in range(200)) for i in range(6)]
+    whole = [pieces.sample_group([t], [i], pieces.Lattices(v), 2, 1)[0] for i, t in enumerate(texts)]
+    monkeypatch.setattr(pieces, "KEPT", 4096)
+    lattices = pieces.Lattices(v)
+    for _ in range(2):
+        for i, (t, want) in enumerate(zip(texts, whole, strict=True)):
+            (drawn,) = pieces.sample_group([t], [i], lattices, 2, 1)
+            assert [x[0].tolist() for x in drawn] == [x[0].tolist() for x in want]
+
+
 def test_query(spark, sf_dir):
     rows = pieces.op9_pieces(spark, sf_dir).collect()
     n = spark.read.parquet(f"{sf_dir}/documents.parquet").count()

@@ -44,8 +44,8 @@ LITERAL = 0x110000
 #: Ids from here on are characters (less this) written as byte pieces.
 BYTES = 1 << 22
 K, SEED = 2, 11
-#: Bytes of text walked together, and edges of lattices that a task keeps (33 bytes each).
-GROUP, KEPT = 1 << 18, 1 << 21
+#: Bytes of text walked together, and edges of lattices that a task keeps (13 bytes each, and 5 a node).
+GROUP, KEPT = 1 << 16, 1 << 21
 WORD = (1 << 64) - 1
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -94,6 +94,7 @@ class Vocabulary:
         self.bytes = np.frombuffer(b"".join(self.written), dtype=np.uint8)
         nodes: dict[tuple[int, int], int] = {}
         ends: dict[int, int] = {}
+        self.longest = max((len(pieces[i]) for i in normal), default=1)
         for i in normal:
             at = 0
             for c in pieces[i]:
@@ -160,11 +161,15 @@ def spelt(char: int) -> bytes:
 
 
 class Table:
-    """Numbers by 64-bit hashes, open addressing."""
+    """Numbers by 64-bit hashes, open addressing; half full at most."""
 
-    def __init__(self, least: int) -> None:
-        self.bits = max(10, int(least).bit_length())
-        self.keys = np.zeros((1 << self.bits) + 4096, dtype=np.uint64)
+    def __init__(self) -> None:
+        self.held = 0
+        self.empty(10)
+
+    def empty(self, bits: int) -> None:
+        self.bits = bits
+        self.keys = np.zeros((1 << bits) + 4096, dtype=np.uint64)
         self.values = np.full(len(self.keys), -1, dtype=np.int32)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
@@ -183,6 +188,11 @@ class Table:
 
     def add(self, keys: np.ndarray, values: np.ndarray) -> None:
         """Distinct keys that are not there yet."""
+        self.held += len(keys)
+        if 2 * self.held > 1 << self.bits:
+            old = self.values >= 0
+            keys, values = np.concatenate((self.keys[old], keys)), np.concatenate((self.values[old], values))
+            self.empty((2 * self.held - 1).bit_length())
         slots = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
         left = np.arange(len(keys))
         while len(left):
@@ -201,16 +211,20 @@ class Lattices:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
         self.up = np.ones(1, dtype=np.uint64)
+        self.p = np.zeros(0)
         self.clear(KEPT)
 
     def clear(self, edges: int) -> None:
-        self.begin = self.end = self.source = self.to = self.piece = self.p = self.upto = None  # the old ones go first
-        self.table = Table(edges // 4)  # a chunk's hash: its first node
+        self.table = Table()  # a chunk's hash: its first node
         self.nodes = self.edges = 0
+        if len(self.p) == edges:  # written over: new ones would come from a heap that holds on to the old
+            return
+        self.begin = self.end = self.length = self.piece = self.p = None  # the old ones go first
         self.begin = np.zeros(edges + 1, dtype=np.int32)  # node: its first edge
         self.end = np.zeros(edges, dtype=bool)  # node: the end of a chunk
-        self.source, self.to, self.piece = (np.zeros(edges, dtype=np.int32) for _ in range(3))
-        self.p, self.upto = np.zeros(edges), np.zeros(edges)  # probability among the node's edges, and their running sum
+        self.length = np.zeros(edges, dtype=np.min_scalar_type(self.v.longest))  # characters, and nodes from source to target
+        self.piece = np.zeros(edges, dtype=np.int32)
+        self.p = np.zeros(edges)  # probability among the node's edges
 
     def hashes(self, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if len(self.up) < len(chars):
@@ -269,7 +283,7 @@ class Lattices:
         head = np.zeros(total + 1, dtype=np.int64)
         np.cumsum(number, out=head[1:])
         n = int(head[-1])
-        if self.edges + n > len(self.to) or self.nodes + total >= len(self.begin):
+        if self.edges + n > len(self.p) or self.nodes + total >= len(self.begin):
             if self.nodes:
                 return None
             self.clear(max(n, total + 1))  # one group alone needs more than is kept
@@ -299,24 +313,29 @@ class Lattices:
             top = np.maximum.reduceat(value, begin)
             mass[nodes] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, size)), begin))
         p = np.exp(log_p + mass[target] - mass[source])
-        sums = np.concatenate(([0.0], np.cumsum(p)))
         n0, e0 = self.nodes, self.edges
         self.begin[n0 : n0 + total + 1] = head + e0
         self.end[n0 : n0 + total] = remaining == 0
         cut = slice(e0, e0 + n)
-        self.source[cut], self.to[cut], self.piece[cut], self.p[cut], self.upto[cut] = source + n0, target + n0, piece, p, sums[1:] - sums[head[source]]
+        self.length[cut], self.piece[cut], self.p[cut] = target - source, piece, p
         self.nodes, self.edges = n0 + total, e0 + n
         return offsets + n0
 
     def choose(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge of each node at which the running sum of probabilities passes u."""
         edge, last = self.begin[nodes].astype(np.int64), self.begin[nodes + 1] - 1
-        left = np.flatnonzero((self.upto[edge] < u) & (edge < last))
+        upto = self.p[edge]
+        left = np.flatnonzero((upto < u) & (edge < last))
         while len(left):
             edge[left] += 1
-            left = left[(self.upto[edge[left]] < u[left]) & (edge[left] < last[left])]
+            upto[left] += self.p[edge[left]]
+            left = left[(upto[left] < u[left]) & (edge[left] < last[left])]
         return edge
 
+    def sources(self, edges: np.ndarray) -> np.ndarray:
+        """The nodes that edges leave."""
+        return np.searchsorted(self.begin[: self.nodes + 1], edges.astype(np.int32), side="right") - 1
+
     def walk(self, nodes: np.ndarray, seeds: np.ndarray, chunk: np.ndarray, path: int) -> tuple[np.ndarray, np.ndarray]:
         """Edges drawn from each node to its chunk's end, walk after walk, and the walks they belong to."""
         on = np.flatnonzero(~self.end[nodes])
@@ -324,7 +343,7 @@ class Lattices:
         while len(on):
             edge = self.choose(at, uniform(seeds[on], path, chunk[on], step))
             taken.append((on, edge))
-            at = self.to[edge]
+            at = at + self.length[edge]
             go = ~self.end[at]
             on, at, step = on[go], at[go], step + 1
         if not taken:
@@ -417,9 +436,9 @@ def sample_group(texts: list[str | None], keys: list[int], lattices: Lattices, k
                 threshold[d] = value
             break
         turned, walks, walk_text, walk_chunk = [], [], [], []
-        for d, value, path, place in branches:
+        sources = lattices.sources(np.array([path.edges[place] for _, _, path, place in branches])).tolist()
+        for node, (d, value, path, place) in zip(sources, branches, strict=True):
             taken = path.passed.setdefault(place, [int(path.edges[place])])
-            node = int(lattices.source[taken[0]])
             options = [e for e in range(lattices.begin[node], lattices.begin[node + 1]) if e not in taken]
             shares = [float(lattices.p[e]) for e in options]
             u, edge = one_uniform(int(seeds[d]), 3000 + number, 0) * sum(shares), options[-1]
@@ -435,7 +454,7 @@ def sample_group(texts: list[str | None], keys: list[int], lattices: Lattices, k
             path.aside[place] = set_aside(np.array([1.0 - rest]), start, value, np.array([one_uniform(int(seeds[d]), 2000 + number, 0)]))[0] if rest > 0 else -np.inf
             turned.append(edge)
             chunk, last = int(path.chunks[place]), int(last_chunk[d])
-            walks.append(np.concatenate(([lattices.to[edge]], roots[chunk + 1 : last])))
+            walks.append(np.concatenate(([node + int(lattices.length[edge])], roots[chunk + 1 : last])))
             walk_text.append(np.full(last - chunk, d))
             walk_chunk.append(np.arange(chunk, last))
         text, chunks = np.concatenate(walk_text), np.concatenate(walk_chunk)
